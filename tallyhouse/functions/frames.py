@@ -18,8 +18,14 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def side_by_side(*one_rows: DataFrame) -> DataFrame:
-    """Columns of several one-row frames as a single row."""
-    return reduce(attach_row, one_rows)
+    """Columns of several frames of at most one row as a single row.
+
+    The rows are stacked with nulls in the columns they lack, and ``max`` picks the
+    one value of each column: no join, and every frame runs in parallel. A frame
+    without a row leaves its columns null.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_rows)
+    return stacked.agg(*[F.max(f"`{name}`").alias(name) for name in stacked.columns])
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.functions.frames import attach_row
+from tallyhouse.functions.frames import side_by_side
 from tallyhouse.functions.retail import bad_price, high_quantity, line_amount, returned
 from tallyhouse.functions.stamps import ntz
 from tallyhouse.functions.stats import percent
@@ -113,16 +113,18 @@ def extraction_summary(staged: DataFrame) -> DataFrame:
     Each distinct count is its own aggregate over one column, so a scan is
     never multiplied by the number of distinct counts.
     """
-    summary = staged.agg(
+    totals = staged.agg(
         F.count("*").alias("total_rows"),
         F.min("invoice_date").alias("earliest_date"),
         F.max("invoice_date").alias("latest_date"),
         F.max("created_at").alias("last_load_time"),
     )
-    for column, name in (
-        ("customer_id", "unique_customers"),
-        ("stock_code", "unique_products"),
-        ("country", "unique_countries"),
-    ):
-        summary = attach_row(summary, staged.agg(F.count_distinct(column).alias(name)))
-    return summary
+    members = [
+        staged.agg(F.count_distinct(column).alias(name))
+        for column, name in (
+            ("customer_id", "unique_customers"),
+            ("stock_code", "unique_products"),
+            ("country", "unique_countries"),
+        )
+    ]
+    return side_by_side(totals, *members)

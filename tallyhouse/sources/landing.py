@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.schemas import CANONICAL_NAMES, LANDING, REQUIRED_COLUMNS, STAGING, STAGING_NAMES
 
+NULL_TEXT = "\\N"
+
 
 def scan_raw(
     spark: SparkSession,
@@ -22,7 +24,9 @@ def scan_raw(
     schema = T.StructType(LANDING.fields + (extra.fields if extra else []))
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).option("mode", "FAILFAST").csv(path)
+        # An empty field is null; a quoted empty field is an empty text.
+        options = {"header": True, "mode": "FAILFAST", "nullValue": NULL_TEXT}
+        return reader.options(**options).csv(path)
     return reader.format(fmt).load(path)
 
 
