@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.functions.frames import side_by_side
 from tallyhouse.functions.retail import bad_price, high_quantity, line_amount, returned
@@ -16,8 +18,13 @@ from tallyhouse.schemas import CRITICAL_COLUMNS, SOURCE_KEYS
 from tallyhouse.sources.landing import require_columns
 
 
+def _complete() -> Column:
+    """All critical fields present, as conditions that reach the Parquet reader."""
+    return reduce(and_, [F.col(name).isNotNull() for name in CRITICAL_COLUMNS])
+
+
 def drop_critical_nulls(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=list(CRITICAL_COLUMNS))
+    return df.where(_complete())
 
 
 def flag_price(df: DataFrame) -> DataFrame:
@@ -69,9 +76,7 @@ def cleaning_stats(raw: DataFrame) -> DataFrame:
     Everything comes from one scan, pre-aggregated by source key before the
     shuffle: the number of key groups is the number of surviving rows.
     """
-    complete = F.lit(True)
-    for name in CRITICAL_COLUMNS:
-        complete = complete & F.col(name).isNotNull()
+    complete = _complete()
     # Rows that will be dropped share one all-null key, so they never get shuffled one by one.
     keys = [F.when(complete, F.col(name)).alias(f"key_{name}") for name in SOURCE_KEYS]
     per_key = require_columns(raw).groupBy(complete.alias("complete"), *keys).agg(

@@ -16,13 +16,17 @@ def keep_first(
     order, nulls first. That order is total up to identical rows, so the survivor
     does not depend on partitioning. ``min`` of a struct aggregates on the map
     side: however many copies a key has, each task sends on at most one of them.
+    Key columns that are plain columns of ``df`` travel as keys only.
     """
     by = keys if isinstance(keys, dict) else {name: F.col(name) for name in keys}
-    rest = [name for name in df.columns if name not in order_by]
-    first = F.min(F.struct(*order_by, *rest))
-    named = [column.alias(f"_key_{i}") for i, column in enumerate(by.values())]
-    grouped = df.groupBy(*named).agg(first.alias("_first"))
-    return grouped.select(*[F.col("_first").getField(name).alias(name) for name in df.columns])
+    plain = [name for name in by if name in df.columns]
+    carried = [*order_by, *[n for n in df.columns if n not in order_by and n not in plain]]
+    grouped = df.groupBy(*[column.alias(name) for name, column in by.items()]).agg(
+        F.min(F.struct(*carried)).alias("_first")
+    )
+    return grouped.select(
+        *[n if n in plain else F.col("_first").getField(n).alias(n) for n in df.columns]
+    )
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> Column:

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.retail import line_amount, returned
 from tallyhouse.operators.dedup import keep_first
+from tallyhouse.sources.landing import staging_valid_rows
 
+FACT_SOURCE = (
+    "invoice",
+    "stock_code",
+    "invoice_date",
+    "quantity",
+    "price",
+    "customer_id",
+    "country",
+)
 FACT_COLUMNS = (
     "invoice_no",
     "product_key",
@@ -69,10 +79,15 @@ def dedup_day(staged: DataFrame) -> DataFrame:
 
 
 def fact_rows(staged: DataFrame, time, country, product, customer) -> DataFrame:
-    """Fact rows, plus year and month for the table layout."""
-    usable = staged.dropna(subset=["stock_code", "customer_id", "invoice_date"])
+    """Fact rows, plus year and month for the table layout.
+
+    Only what the fact is made of goes through the de-duplication: lines that
+    differ in nothing else give the same fact row, whichever is kept.
+    """
     keyed = (
-        usable.transform(dedup_day)
+        staged.transform(staging_valid_rows)
+        .select(*FACT_SOURCE)
+        .transform(dedup_day)
         .transform(join_time, time)
         .transform(join_country, country)
         .transform(join_product, product)

@@ -13,7 +13,7 @@ from tallyhouse.operators.dimensions import country_rows, customer_rows, product
 from tallyhouse.operators.fact import fact_rows
 from tallyhouse.operators.keys import with_dense_key
 from tallyhouse.schemas import DIMENSION_KEYS, NATURAL_KEYS, STAGING
-from tallyhouse.session import new_folder
+from tallyhouse.session import new_folder, together
 from tallyhouse.sources.landing import staging_valid_rows
 from tallyhouse.sources.tables import load_dimension, load_fact
 
@@ -57,10 +57,17 @@ def build_star(
         keyed = with_dense_key(rows, NATURAL_KEYS[table], DIMENSION_KEYS[table])
         return load_dimension(keyed, table, f"{root}/{table}", as_of=as_of).frame
 
-    time = dimension("dim_time", time_rows(usable))
-    country = dimension("dim_country", country_rows(usable))
-    product = dimension("dim_product", product_rows(usable))
-    customer = dimension("dim_customer", customer_rows(usable, country))
+    def country_then_customer() -> tuple[DataFrame, DataFrame]:
+        country = dimension("dim_country", country_rows(usable))
+        return country, dimension("dim_customer", customer_rows(usable, country))
+
+    built = together(
+        time=lambda: dimension("dim_time", time_rows(usable)),
+        product=lambda: dimension("dim_product", product_rows(usable)),
+        places=country_then_customer,
+    )
+    time, product = built["time"], built["product"]
+    country, customer = built["places"]
     fact = load_fact(
         fact_rows(usable, time, country, product, customer), f"{root}/fact_sales", as_of=as_of
     ).frame

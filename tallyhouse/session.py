@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +65,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(**jobs: Callable[[], Any]) -> dict[str, Any]:
+    """Run independent jobs at the same time, so small ones do not leave the cluster idle.
+
+    The first failure is raised after all jobs have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}

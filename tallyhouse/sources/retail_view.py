@@ -56,10 +56,13 @@ def retail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoice = F.when(
         sent_back & (order % 7 == 0), F.concat(F.lit("C"), order.cast("string"))
     ).otherwise(order.cast("string"))
+    # Longer numbers keep all their digits.
+    digits = part_no.cast("string")
+    padded = F.lpad(digits, F.greatest(F.lit(6), F.length(digits)), F.lit("0"))
     stock_code = (
         F.when(part_no % 211 == 0, F.lit(None).cast("string"))
         .when(part_no % 97 == 0, F.concat(F.lit("P"), (part_no % 10).cast("string")))
-        .otherwise(F.format_string("P%06d", part_no))
+        .otherwise(F.concat(F.lit("P"), padded))
     )
     description = (
         F.when(part_no % 53 == 0, F.lit(None).cast("string"))

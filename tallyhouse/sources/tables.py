@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.frames import stack
 from tallyhouse.functions.stamps import ntz
-from tallyhouse.session import materialise
+from tallyhouse.session import together
 from tallyhouse.sources.landing import stage_projection
 
 
@@ -122,18 +123,15 @@ def write_report(
     sheets: dict[str, DataFrame], out_dir: str, stamp: str, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
     """Write every sheet to ``out_dir/report_ts=<stamp>/<sheet>`` and return what was written."""
-    written = {}
-    for name, sheet in sheets.items():
+    options = {"header": True} if fmt == "csv" else {}
+
+    def write(name: str, sheet: DataFrame) -> DataFrame:
         path = f"{out_dir}/report_ts={stamp}/{name}"
-        writer = sheet.write.mode("overwrite")
-        if fmt == "csv":
-            writer = writer.option("header", True)
-        writer.format(fmt).save(path)
-        reader = sheet.sparkSession.read.schema(sheet.schema)
-        if fmt == "csv":
-            reader = reader.option("header", True)
-        written[name] = reader.format(fmt).load(path)
-    return written
+        sheet.write.mode("overwrite").options(**options).format(fmt).save(path)
+        reader = sheet.sparkSession.read.schema(sheet.schema).options(**options)
+        return reader.format(fmt).load(path)
+
+    return together(**{n: partial(write, n, sheet) for n, sheet in sheets.items()})
 
 
 def report_manifest(written: dict[str, DataFrame]) -> DataFrame:
@@ -141,19 +139,3 @@ def report_manifest(written: dict[str, DataFrame]) -> DataFrame:
     return row_counts(written).select(
         F.col("table_name").alias("sheet"), F.col("row_count").alias("rows")
     )
-
-
-__all__ = [
-    "Loaded",
-    "apply_retention",
-    "expired",
-    "load_dimension",
-    "load_fact",
-    "load_staging",
-    "materialise",
-    "report_manifest",
-    "retention_split",
-    "row_counts",
-    "table_exists",
-    "write_report",
-]
