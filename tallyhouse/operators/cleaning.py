@@ -70,41 +70,44 @@ def clean(
     return cleaned.withColumn("processed_at", ntz(processed_at))
 
 
-def cleaning_stats(raw: DataFrame) -> DataFrame:
+def cleaning_stats(raw: DataFrame, final_rows: int | None = None) -> DataFrame:
     """One row of counts. The flags are counted before duplicates go, as cleaning defines them.
 
-    Everything comes from one scan, pre-aggregated by source key before the
-    shuffle: the number of key groups is the number of surviving rows.
+    With ``final_rows`` known, as after a staging load, this is one scan without
+    a shuffle. Otherwise the rows are pre-aggregated by source key in the same
+    scan, and the number of keys is the number of surviving rows.
     """
     complete = _complete()
-    # Rows that will be dropped share one all-null key, so they never get shuffled one by one.
-    keys = [F.when(complete, F.col(name)).alias(f"key_{name}") for name in SOURCE_KEYS]
-    per_key = require_columns(raw).groupBy(complete.alias("complete"), *keys).agg(
-        F.count("*").alias("n"),
-        F.count_if(bad_price(F.col("UnitPrice"))).alias("bad_price"),
-        F.count_if(high_quantity(F.col("Quantity"))).alias("high_quantity"),
-        F.count_if(returned(F.col("InvoiceNo"), F.col("Quantity"))).alias("returned"),
-    )
-    kept = F.col("complete")
-
-    def over_kept(name: str):
-        return F.coalesce(F.sum(F.when(kept, F.col(name))), F.lit(0))
-
-    totals = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("initial_rows"),
-        F.coalesce(F.sum(F.when(~kept, F.col("n"))), F.lit(0)).alias("null_drops"),
-        over_kept("bad_price").alias("invalid_price_count"),
-        over_kept("high_quantity").alias("high_quantity_count"),
-        over_kept("returned").alias("return_count"),
-        F.count_if(kept).alias("final_rows"),
-    )
+    invoice, quantity = F.col("InvoiceNo"), F.col("Quantity")
+    counts = {
+        "initial_rows": F.count("*"),
+        "kept_rows": F.count_if(complete),
+        "invalid_price_count": F.count_if(complete & bad_price(F.col("UnitPrice"))),
+        "high_quantity_count": F.count_if(complete & high_quantity(quantity)),
+        "return_count": F.count_if(complete & returned(invoice, quantity)),
+    }
+    named = [count.alias(name) for name, count in counts.items()]
+    if final_rows is not None:
+        totals = require_columns(raw).agg(*named, F.lit(final_rows).cast("long").alias("final_rows"))
+    else:
+        # Rows that will be dropped share one all-null key, so they never get shuffled one by one.
+        keys = [F.when(complete, F.col(name)).alias(f"key_{name}") for name in SOURCE_KEYS]
+        totals = (
+            require_columns(raw)
+            .groupBy(*keys)
+            .agg(*named)
+            .agg(
+                *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
+                F.count_if(F.col("kept_rows") > 0).alias("final_rows"),
+            )
+        )
     dropped = F.col("initial_rows") - F.col("final_rows")
     return totals.select(
-        "null_drops",
+        (F.col("initial_rows") - F.col("kept_rows")).alias("null_drops"),
         "invalid_price_count",
         "high_quantity_count",
         "return_count",
-        (dropped - F.col("null_drops")).alias("duplicates_removed"),
+        (F.col("kept_rows") - F.col("final_rows")).alias("duplicates_removed"),
         "initial_rows",
         "final_rows",
         dropped.alias("rows_dropped"),

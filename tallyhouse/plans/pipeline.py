@@ -48,6 +48,7 @@ class Run:
 
     staging: DataFrame
     star: Star
+    daily: DataFrame
     gate: DataFrame
     warnings: DataFrame
     script: dict[str, DataFrame]
@@ -110,7 +111,7 @@ def run(
         report_fmt,
     )
     summary = run_summary(
-        cleaning_stats(raw),
+        cleaning_stats(raw, staging.rows_loaded),
         data_summary(star),
         gate,
         top_countries(star.fact, star.country, 1),
@@ -124,5 +125,5 @@ def run(
     except Exception:  # clean-up trouble never fails a finished run
         log.exception("Staging clean-up failed")
     return Run(
-        staging.frame, star, gate, warnings, script, dashboard, sheets, summary, retained
+        staging.frame, star, daily, gate, warnings, script, dashboard, sheets, summary, retained
     )

@@ -34,6 +34,20 @@ def build_session(app_name: str = "tallyhouse", **settings: str) -> SparkSession
     return builder.getOrCreate()
 
 
+def sizing(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle settings for an input of this size.
+
+    AQE can merge shuffle partitions but not add any, so it has to start from
+    enough of them: about one per ``partition_bytes`` of input.
+    """
+    partitions = max(8, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
