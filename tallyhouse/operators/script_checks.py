@@ -141,7 +141,7 @@ def freshness(raw: DataFrame, as_of: datetime) -> DataFrame:
 def run_script(
     raw: DataFrame, fact: DataFrame, dims: dict[str, DataFrame], as_of: datetime
 ) -> dict[str, DataFrame]:
-    """All ten results by name; none is lost to a later one."""
+    """All ten results by name; none is lost to a later one. The names are fixed values."""
     return {
         "Critical Null Check": critical_nulls(raw),
         "Duplicate Check": duplicates(raw),

@@ -70,7 +70,10 @@ def _warehouse_counts(tables: Tables) -> DataFrame:
 
 
 def default_checks(as_of: datetime) -> tuple[Check, ...]:
-    """The seven checks of the catalogue. Thresholds are fixed values of the rule set."""
+    """The seven checks of the catalogue.
+
+    Names, descriptions, thresholds and criticality are fixed values of the rule set.
+    """
     amount = F.col("total_amount")
     return (
         Check(
