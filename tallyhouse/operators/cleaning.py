@@ -13,7 +13,7 @@ from tallyhouse.functions.frames import side_by_side
 from tallyhouse.functions.retail import bad_price, high_quantity, line_amount, returned
 from tallyhouse.functions.stamps import ntz
 from tallyhouse.functions.stats import percent
-from tallyhouse.operators.dedup import keep_first
+from tallyhouse.operators.dedup import distinct_keys, keep_first
 from tallyhouse.schemas import CRITICAL_COLUMNS, SOURCE_KEYS
 from tallyhouse.sources.landing import require_columns
 
@@ -73,34 +73,25 @@ def clean(
 def cleaning_stats(raw: DataFrame, final_rows: int | None = None) -> DataFrame:
     """One row of counts. The flags are counted before duplicates go, as cleaning defines them.
 
-    With ``final_rows`` known, as after a staging load, this is one scan without
-    a shuffle. Otherwise the rows are pre-aggregated by source key in the same
-    scan, and the number of keys is the number of surviving rows.
+    The counts need no shuffle. The surviving rows are the distinct source keys,
+    for which only the key columns are read and shuffled; a caller that has just
+    loaded the staging table knows their number and passes it.
     """
     complete = _complete()
     invoice, quantity = F.col("InvoiceNo"), F.col("Quantity")
-    counts = {
-        "initial_rows": F.count("*"),
-        "kept_rows": F.count_if(complete),
-        "invalid_price_count": F.count_if(complete & bad_price(F.col("UnitPrice"))),
-        "high_quantity_count": F.count_if(complete & high_quantity(quantity)),
-        "return_count": F.count_if(complete & returned(invoice, quantity)),
-    }
-    named = [count.alias(name) for name, count in counts.items()]
+    totals = require_columns(raw).agg(
+        F.count("*").alias("initial_rows"),
+        F.count_if(complete).alias("kept_rows"),
+        F.count_if(complete & bad_price(F.col("UnitPrice"))).alias("invalid_price_count"),
+        F.count_if(complete & high_quantity(quantity)).alias("high_quantity_count"),
+        F.count_if(complete & returned(invoice, quantity)).alias("return_count"),
+    )
     if final_rows is not None:
-        totals = require_columns(raw).agg(*named, F.lit(final_rows).cast("long").alias("final_rows"))
+        totals = totals.withColumn("final_rows", F.lit(final_rows).cast("long"))
     else:
-        # Rows that will be dropped share one all-null key, so they never get shuffled one by one.
-        keys = [F.when(complete, F.col(name)).alias(f"key_{name}") for name in SOURCE_KEYS]
-        totals = (
-            require_columns(raw)
-            .groupBy(*keys)
-            .agg(*named)
-            .agg(
-                *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
-                F.count_if(F.col("kept_rows") > 0).alias("final_rows"),
-            )
-        )
+        kept = drop_critical_nulls(raw)
+        unique = kept.agg(distinct_keys(kept, SOURCE_KEYS).alias("final_rows"))
+        totals = side_by_side(totals, unique)
     dropped = F.col("initial_rows") - F.col("final_rows")
     return totals.select(
         (F.col("initial_rows") - F.col("kept_rows")).alias("null_drops"),

@@ -24,8 +24,10 @@ class Check:
 
     A check measures either aggregates over one table (``table`` and
     ``aggregates``), which are then computed together with the other checks on
-    that table, or any one-row frame (``row``). ``passes`` gets the measures and
-    the threshold; a null answer is a failure.
+    that table, or any one-row frame (``row``). With ``own_scan`` the aggregates
+    are computed apart: beside a distinct count, every other measure would travel
+    with each distinct key. ``passes`` gets the measures and the threshold; a null
+    answer is a failure.
     """
 
     category: str
@@ -36,6 +38,7 @@ class Check:
     passes: Callable[[Callable[[str], Column], Column], Column]
     table: str = ""
     aggregates: Mapping[str, Column] = field(default_factory=dict)
+    own_scan: bool = False
     row: Callable[[Tables], DataFrame] | None = None
 
     def packed(self) -> Column:
@@ -113,6 +116,7 @@ def default_checks(as_of: datetime) -> tuple[Check, ...]:
                 "total_records": F.count("*"),
                 "unique_combinations": F.count_distinct(F.struct(*ROW_KEYS)),
             },
+            own_scan=True,
         ),
         Check(
             "raw_data_checks",
@@ -243,7 +247,7 @@ def run_check(check: Check, tables: Tables) -> DataFrame:
 def checks_report(
     spark: SparkSession, tables: Tables, checks: Sequence[Check]
 ) -> DataFrame:
-    """One row per check, all measured by one plan with one scan per table and column set.
+    """One row per check, all measured by one plan; checks on one table share a scan.
 
     A check that cannot be planned (a missing table or column) becomes a failed
     row with the error text and leaves the others alone.
@@ -258,11 +262,13 @@ def checks_report(
             broken.append(_failed(check, error))
 
     fused: dict[str, list[Column]] = {}
-    for check, _, _ in sound:
-        if check.row is None:
+    rows = []
+    for check, _, shape in sound:
+        if check.row is None and not check.own_scan:
             fused.setdefault(check.table, []).append(check.packed())
-    rows = [tables[table].agg(*packed) for table, packed in fused.items()]
-    rows += [shape for check, _, shape in sound if check.row is not None]
+        else:
+            rows.append(shape)
+    rows += [tables[table].agg(*packed) for table, packed in fused.items()]
 
     report = spark.createDataFrame(broken, REPORT_SCHEMA) if broken or not rows else None
     if rows:

@@ -81,6 +81,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Hash rows over all cores when the input arrives in fewer splits than there are cores.
+
+    A few small files would otherwise keep one core busy. Larger inputs have more
+    splits than cores and stay as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
 def together(**jobs: Callable[[], Any]) -> dict[str, Any]:
     """Run independent jobs at the same time, so small ones do not leave the cluster idle.
 
