@@ -49,8 +49,6 @@ def main(argv: list[str] | None = None) -> int:
     except pipeline.GateFailed as failure:
         print(failure, file=sys.stderr)
         return 1
-    _show("Run summary", done.summary)
-    _show("Quality dashboard", done.dashboard)
     _show(
         "Monitoring counters",
         monitoring.monitoring_counters(
@@ -60,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
             monitoring.product_quality(done.star.fact, done.star.product),
         ),
     )
-    for name, result in done.script.items():
+    for name, result in done.results.items():
         _show(name, result)
     return 0
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.functions.frames import side_by_side, stack
+from tallyhouse.functions.frames import stack
 from tallyhouse.schemas import CONTRACTS, DIMENSION_KEYS
 
 ORPHAN_NAMES = {
@@ -27,19 +27,43 @@ def _unmatched(rows: DataFrame, column: str, dim: DataFrame, key: str) -> DataFr
     return uses.join(dim.select(F.col(key).alias("key")), "key", "left_anti")
 
 
-def orphans(fact: DataFrame, dimension: str, dim: DataFrame) -> DataFrame:
-    """One row: fact rows whose key has no dimension row; null keys count too."""
-    key = DIMENSION_KEYS[dimension]
-    name = ORPHAN_NAMES[dimension]
-    lost = _unmatched(fact, key, dim, key)
-    return lost.agg(F.coalesce(F.sum("uses"), F.lit(0)).alias(name))
-
-
 def orphan_counts(
     fact: DataFrame, dims: dict[str, DataFrame], names=tuple(ORPHAN_NAMES)
 ) -> DataFrame:
-    """Orphan counts of several dimensions as one row."""
-    return side_by_side(*[orphans(fact, name, dims[name]) for name in names])
+    """One row: per dimension, fact rows whose key has no dimension row; null keys count too.
+
+    All dimensions go through one scan of the fact's keys and one anti-join of
+    (dimension, key) pairs, counted before they meet it.
+    """
+    pairs = F.array(
+        *[
+            F.struct(F.lit(name).alias("dim"), F.col(DIMENSION_KEYS[name]).cast("long").alias("key"))
+            for name in names
+        ]
+    )
+    uses = fact.select(F.inline(pairs)).groupBy("dim", "key").agg(F.count("*").alias("uses"))
+    known = stack(
+        [
+            dims[name].select(
+                F.lit(name).alias("dim"), F.col(DIMENSION_KEYS[name]).cast("long").alias("key")
+            )
+            for name in names
+        ]
+    )
+    lost = uses.join(known, ["dim", "key"], "left_anti")
+    return lost.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("dim") == name, F.col("uses"))), F.lit(0)).alias(
+                ORPHAN_NAMES[name]
+            )
+            for name in names
+        ]
+    )
+
+
+def orphans(fact: DataFrame, dimension: str, dim: DataFrame) -> DataFrame:
+    """Orphan count of one dimension."""
+    return orphan_counts(fact, {dimension: dim}, (dimension,))
 
 
 def _long(table: str, one_row: DataFrame, value: str, columns: list[str]) -> DataFrame:

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallyhouse.functions.stamps import file_stamp
-from tallyhouse.operators.cleaning import clean, cleaning_stats
+from tallyhouse.operators.cleaning import clean, cleaning_stats, extraction_summary
 from tallyhouse.operators.integrity import orphan_counts
 from tallyhouse.operators.reporting import (
     business_rules,
     data_summary,
     load_gate,
     load_warnings,
-    top_countries,
+    monthly_revenue,
     quality_metrics,
+    top_countries,
+    top_products,
 )
 from tallyhouse.operators.script_checks import run_script
 from tallyhouse.plans.checks import (
@@ -30,10 +32,10 @@ from tallyhouse.plans.checks import (
 )
 from tallyhouse.plans.monitoring import daily_profile
 from tallyhouse.plans.report import report_sheets, run_summary
-from tallyhouse.plans.warehouse import Star, build_star
+from tallyhouse.plans.warehouse import Star, build_star, build_stats
 from tallyhouse.session import materialise
 from tallyhouse.sources.landing import canonical_columns, require_columns, scan_raw
-from tallyhouse.sources.tables import apply_retention, load_staging, write_report
+from tallyhouse.sources.tables import Retained, apply_retention, load_staging, write_report
 
 log = logging.getLogger(__name__)
 
@@ -44,18 +46,20 @@ class GateFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Run:
-    """What a full refresh produced."""
+    """What a full refresh wrote: every frame reads a table, none recomputes anything.
+
+    ``sheets`` is the report, ``results`` holds the run summary, the quality
+    dashboard, the top lists and the ten script checks.
+    """
 
     staging: DataFrame
     star: Star
     daily: DataFrame
     gate: DataFrame
-    warnings: DataFrame
-    script: dict[str, DataFrame]
-    dashboard: DataFrame
+    checks: DataFrame
     sheets: dict[str, DataFrame]
-    summary: DataFrame
-    retained: DataFrame | None = field(default=None)
+    results: dict[str, DataFrame]
+    retained: Retained | None = None
 
 
 def enforce_gate(gate: DataFrame) -> None:
@@ -98,32 +102,43 @@ def run(
         log.warning("%s: %d rows", name, rows)
     enforce_gate(gate)
 
-    script = run_script(staging.frame, star.fact, star.dimensions, as_of)
     tables = {"raw": staging.frame, "fact": star.fact, **star.dimensions}
     checked = materialise(checks_report(spark, tables, default_checks(as_of)), "checks")
-    dashboard = quality_dashboard(checked, quality_metrics(staging.frame, star, stamps=True))
-
     daily = materialise(daily_profile(star.fact, star.time), "daily-profile")
+    stamp = file_stamp(as_of)
     sheets = write_report(
         report_sheets(daily, star.fact, star.time, star.product, as_of),
         f"{out_dir}/quality_reports",
-        file_stamp(as_of),
+        stamp,
         report_fmt,
     )
-    summary = run_summary(
-        cleaning_stats(raw, staging.rows_loaded),
-        data_summary(star),
-        gate,
-        top_countries(star.fact, star.country, 1),
-        quality_score(checks_summary(checked)),
-    )
+    results = {
+        "Run_Summary": run_summary(
+            cleaning_stats(raw, staging.rows_loaded),
+            data_summary(star),
+            gate,
+            top_countries(star.fact, star.country, 1),
+            quality_score(checks_summary(checked)),
+        ),
+        "Quality_Dashboard": quality_dashboard(
+            checked, quality_metrics(staging.frame, star, stamps=True)
+        ),
+        "Load_Warnings": warnings,
+        "Extraction_Summary": extraction_summary(staging.frame),
+        "Build_Stats": build_stats(staging.frame, star, as_of),
+        "Top_Countries_By_Revenue": top_countries(star.fact, star.country),
+        "Top_Products": top_products(star.fact, star.product),
+        "Monthly_Revenue": monthly_revenue(star.fact, star.time).orderBy("year", "month"),
+    }
+    script = run_script(staging.frame, star.fact, star.dimensions, as_of)
+    results |= {name.replace(" ", "_"): result for name, result in script.items()}
+    results = write_report(results, f"{out_dir}/run_results", stamp)
     retained = None
     try:
         retained = apply_retention(
             staging.frame, f"{out_dir}/raw_retail_data_kept", as_of, keep_days
-        ).frame
+        )
+        log.info("Retention deleted %d staged rows", retained.rows_deleted)
     except Exception:  # clean-up trouble never fails a finished run
         log.exception("Staging clean-up failed")
-    return Run(
-        staging.frame, star, daily, gate, warnings, script, dashboard, sheets, summary, retained
-    )
+    return Run(staging.frame, star, daily, gate, checked, sheets, results, retained)

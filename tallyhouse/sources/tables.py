@@ -85,26 +85,41 @@ def load_fact(
     return _loaded("fact_sales", rows, path, as_of)
 
 
-def expired(created_at: Column, as_of: datetime, keep_days: int = 7) -> Column:
-    """Row is older than the retention period; rows without a stamp never expire."""
-    return F.coalesce(created_at < ntz(as_of - timedelta(days=keep_days)), F.lit(False))
+@dataclass(frozen=True)
+class Retained:
+    """Staging after retention."""
+
+    frame: DataFrame
+    rows_deleted: int
+
+
+def _is_stale(as_of: datetime, keep_days: int) -> Column:
+    """Older than the retention period; null (so never deleted) without a stamp."""
+    return F.col("created_at") < ntz(as_of - timedelta(days=keep_days))
 
 
 def retention_split(staged: DataFrame, as_of: datetime, keep_days: int = 7) -> DataFrame:
     """One row: how many rows retention deletes and keeps."""
-    old = expired(F.col("created_at"), as_of, keep_days)
+    deleted = F.count_if(_is_stale(as_of, keep_days))
     return staged.agg(
-        F.count_if(old).alias("rows_deleted"), F.count_if(~old).alias("rows_kept")
+        deleted.alias("rows_deleted"), (F.count("*") - deleted).alias("rows_kept")
     )
 
 
 def apply_retention(
     staged: DataFrame, path: str, as_of: datetime, keep_days: int = 7
-) -> Loaded:
-    """Write the rows that retention keeps to ``path`` (a new one, never the one being read)."""
-    kept = staged.where(~expired(F.col("created_at"), as_of, keep_days))
+) -> Retained:
+    """Write the rows that retention keeps to ``path`` (a new one, never the one being read).
+
+    The count comes first: it reads one column, and when nothing is stale, as
+    after every full refresh, the table is returned as it is instead of copied.
+    """
+    deleted = retention_split(staged, as_of, keep_days).first()["rows_deleted"]
+    if not deleted:
+        return Retained(staged, 0)
+    kept = staged.where(~F.coalesce(_is_stale(as_of, keep_days), F.lit(False)))
     kept.write.mode("overwrite").parquet(path)
-    return _loaded("raw_retail_data", kept, path, as_of)
+    return Retained(_read_back(kept, path), deleted)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -32,18 +32,19 @@ def test_full_run(spark, tmp_path):
     land(spark, tmp_path / "in")
     done = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), AS_OF)
     assert frames.one(done.gate)["overall_status"] == "PASS"
-    assert done.warnings.count() == 0
-    summary = frames.one(done.summary)
+    assert done.results["Load_Warnings"].count() == 0
+    summary = frames.one(done.results["Run_Summary"])
     assert summary["rows_processed"] == 81 and summary["rows_rejected"] == 14
     assert summary["drop_rate"] == 14.74 and summary["best_country"] == "UK"
     assert summary["fact_rows"] == done.star.fact.count() == 81
     assert summary["dimension_tables"] == 4
-    dashboard = frames.one(done.dashboard)
+    dashboard = frames.one(done.results["Quality_Dashboard"])
     assert (dashboard["quality_score"], dashboard["overall_status"]) == (100.0, "PASS")
     assert dashboard["last_warehouse_load"] == AS_OF
-    assert len(done.sheets) == 7 and len(done.script) == 10
+    assert len(done.sheets) == 7 and len(done.results) == 18
     assert (tmp_path / "out" / "quality_reports" / "report_ts=20100402_0800").is_dir()
-    assert done.retained.count() == 81
+    assert done.retained.rows_deleted == 0
+    assert done.retained.frame.count() == 81
     total = done.star.fact.where("not is_return").agg(F.sum("total_amount")).first()[0]
     assert summary["total_revenue"] == total
 

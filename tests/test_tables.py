@@ -96,7 +96,10 @@ def test_retention(spark, tmp_path):
     }
     kept = tables.apply_retention(staged, str(tmp_path / "kept"), AS_OF)
     assert {r["invoice"] for r in kept.frame.collect()} == {"0", "6", "7", "none"}
-    assert tables.apply_retention(staged, str(tmp_path / "k2"), AS_OF, 30).rows_loaded == 6
+    assert kept.rows_deleted == 2
+    untouched = tables.apply_retention(staged, str(tmp_path / "k2"), AS_OF, 30)
+    assert untouched.rows_deleted == 0 and untouched.frame.count() == 6
+    assert not (tmp_path / "k2").exists()
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
