@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from tallyhouse.functions.stamps import file_stamp
+from tallyhouse.functions.stamps import file_stamp, ntz
 from tallyhouse.operators.cleaning import clean, cleaning_stats, extraction_summary
 from tallyhouse.operators.integrity import orphan_counts
 from tallyhouse.operators.reporting import (
@@ -122,7 +122,7 @@ def run(
         ),
         "Quality_Dashboard": quality_dashboard(
             checked, quality_metrics(staging.frame, star, stamps=True)
-        ),
+        ).withColumn("last_check_time", ntz(as_of)),
         "Load_Warnings": warnings,
         "Extraction_Summary": extraction_summary(staging.frame),
         "Build_Stats": build_stats(staging.frame, star, as_of),

@@ -26,6 +26,8 @@ def build_session(app_name: str = "tallyhouse", **settings: str) -> SparkSession
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # Recording the Python call site of every column doubles the time to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     chosen.update(settings)
     builder = SparkSession.builder.appName(app_name)
