@@ -4,10 +4,12 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+import retail_oracle
+import retail_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = retail_queries.queries()
+SQL = retail_oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,11 @@ def test_query(name, spark, con):
     assert compare.differences(QUERIES[name](spark, SF), con, SQL[name]) == []
 
 
+def test_the_contract_has_them_all():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() > 0
