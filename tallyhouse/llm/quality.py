@@ -133,8 +133,13 @@ def _any(tests: list[Column]) -> Column:
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with their own columns."""
-    return judge(docs, text_col).where("kept").select("doc.*")
+    """The rows of ``docs`` that no rule rejects, with their own columns.
+
+    A filter on ``kept`` would be moved below the projection and repeat all of it inside itself;
+    exploding an array of one row or none keeps the measures computed once.
+    """
+    judged = judge(docs, text_col)
+    return judged.select(F.explode(F.when(F.col("kept"), F.array("doc"))).alias("doc")).select("doc.*")
 
 
 SQL = r"""
