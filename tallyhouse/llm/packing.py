@@ -180,7 +180,8 @@ def lay_end_to_end(rest: DataFrame, capacity: int, keep_ids: bool) -> DataFrame:
         if out:
             yield dict(zip(PACKED_NAMES, zip(*out)))
 
-    return map_batches(rest.coalesce(1), run, schema_of(PACKED))
+    # A shuffle of the few open pieces; coalesce would pull the join before it into one task.
+    return map_batches(rest.repartition(1), run, schema_of(PACKED))
 
 
 def _sequence_ends(tokens: int, capacity: int) -> list[int]:
