@@ -79,9 +79,9 @@ def _buckets(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _send(table: np.ndarray, buckets: int):
-    """Rows of a 2-d number table, the first column hashes, as one blob per bucket."""
-    bucket = (table[:, 0] % np.uint64(buckets)).astype(np.int64)
+def _send(hashes: np.ndarray, table: np.ndarray, buckets: int):
+    """Rows of a 2-d number table as one blob per bucket of their hashes."""
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     table, bucket = table[order], bucket[order]
     cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
@@ -141,12 +141,12 @@ def repeated_halves(docs: DataFrame, window: int) -> DataFrame:
         size = np.bincount(group)[group]
         # The last column says that the task has settled this window for its own documents.
         send = np.c_[table[first], (size[first] > 1).astype(np.uint64)]
-        for bucket, blob in _send(send, buckets):
+        for bucket, blob in _send(send[:, 0], send, buckets):
             yield bucket, blob
         own = table[size > 1]
         if len(own):
             # Settled entries only pass through; they spread over the buckets like the others.
-            for bucket, blob in _send(np.c_[own, np.full(len(own), 2, dtype=np.uint64)], buckets):
+            for bucket, blob in _send(own[:, 0], np.c_[own, np.full(len(own), 2, dtype=np.uint64)], buckets):
                 yield bucket, blob
 
     def run(batches):
@@ -189,31 +189,32 @@ def later_windows(candidates: DataFrame, window: int) -> DataFrame:
     buckets = _buckets(candidates)
 
     def decide(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Columns half, k1, k2, doc, start: rows of later documents, and rows of the first."""
-        table, group = _groups(table, 3)
-        first = table[np.r_[True, np.diff(group) > 0], 3][group]
-        later = table[:, 3] > first
+        """Columns k1, k2, doc, start and more: rows of later documents, and rows of the first."""
+        table, group = _groups(table, 2)
+        first = table[np.r_[True, np.diff(group) > 0], 2][group]
+        later = table[:, 2] > first
         return table[later], table[~later]
 
     def runs(later: np.ndarray) -> dict:
-        later = later[np.lexsort((later[:, 4], later[:, 3]))]
-        doc, start = later[:, 3], later[:, 4].astype(np.int64)
+        later = later[np.lexsort((later[:, 3], later[:, 2]))]
+        doc, start = later[:, 2], later[:, 3].astype(np.int64)
         new = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(start) != 1)]) if len(doc) else start
         return {"doc_id": _ids(doc[new]), "start": start[new], "count": np.diff(np.r_[new, len(doc)])}
 
     def settle(held: list[np.ndarray]):
         later, first = decide(np.concatenate(held))
-        yield from _send(first, buckets)
+        # Equal windows have equal halves, so the half, sent along by nobody, picks the bucket;
+        # windows of one run often share it and come back as one run.
+        yield from _send(first[:, 4], first[:, :4], buckets)
         if len(later):
             # Marked by a start beyond any text, so that the receiver lets them pass.
             found = runs(later)
+            doc = _ordered(found["doc_id"])
             table = np.c_[
-                later[:1, :1].repeat(len(found["start"]), axis=0), found["count"].astype(np.uint64),
-                np.zeros(len(found["start"]), dtype=np.uint64), _ordered(found["doc_id"]),
+                found["count"].astype(np.uint64), np.zeros(len(doc), dtype=np.uint64), doc,
                 found["start"].astype(np.uint64) | _SIGN,
             ]
-            table[:, 0] = _spread(table[:, 3])
-            yield from _send(table, buckets)
+            yield from _send(_spread(doc), table, buckets)
 
     def run(batches):
         hasher, held, size = Hasher(window), [], 0
@@ -225,7 +226,7 @@ def later_windows(candidates: DataFrame, window: int) -> DataFrame:
                 if not len(at):
                     continue
                 k1, k2 = hasher.finals(words)
-                held.append(np.c_[half[at], k1[at], k2[at], _ordered(np.full(len(at), doc_id)), at.astype(np.uint64)])
+                held.append(np.c_[k1[at], k2[at], _ordered(np.full(len(at), doc_id)), at.astype(np.uint64), half[at]])
                 size += len(at)
                 if size > CHUNK:
                     yield dict(zip(("bucket", "numbers"), zip(*settle(held))))
@@ -234,17 +235,17 @@ def later_windows(candidates: DataFrame, window: int) -> DataFrame:
             yield dict(zip(("bucket", "numbers"), zip(*settle(held))))
 
     def solve(table: np.ndarray):
-        passing = table[:, 4] >= _SIGN
+        passing = table[:, 3] >= _SIGN
         done, open_ = table[passing], table[~passing]
         out = runs(decide(open_)[0]) if len(open_) else {"doc_id": [], "start": [], "count": []}
         return {
-            "doc_id": np.concatenate([out["doc_id"], _ids(done[:, 3])]).astype(np.int64),
-            "start": np.concatenate([out["start"], (done[:, 4] ^ _SIGN).astype(np.int64)]).astype(np.int64),
-            "count": np.concatenate([out["count"], done[:, 1].astype(np.int64)]).astype(np.int64),
+            "doc_id": np.concatenate([out["doc_id"], _ids(done[:, 2])]).astype(np.int64),
+            "start": np.concatenate([out["start"], (done[:, 3] ^ _SIGN).astype(np.int64)]).astype(np.int64),
+            "count": np.concatenate([out["count"], done[:, 0].astype(np.int64)]).astype(np.int64),
         }
 
     sent = map_batches(candidates.select("doc_id", "text", "hashes"), run, schema_of(SENT))
-    return _receive(sent, 5, solve, "doc_id long, start long, count long")
+    return _receive(sent, 4, solve, "doc_id long, start long, count long")
 
 
 def _spread(numbers: np.ndarray) -> np.ndarray:
@@ -254,12 +255,18 @@ def _spread(numbers: np.ndarray) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept, kept_sha256)`` per row; ``kept`` are the words that stay."""
-    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # No alias where the name fits: it would make the two shuffles below look different to Spark.
+    named = docs.select(id_col, text_col).withColumnsRenamed(
+        {a: b for a, b in ((id_col, "doc_id"), (text_col, "text")) if a != b}
+    )
     ordered = named.where("doc_id IS NOT NULL")
     halves = repeated_halves(ordered, window).groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
     runs = later_windows(ordered.join(halves, "doc_id"), window)
     found = runs.groupBy("doc_id").agg(F.collect_set(F.struct("start", "count")).alias("r"))
-    joined = named.join(found, "doc_id", "left").select("doc_id", "text", "r.start", "r.count")
+    # The same rows by the same key as in the join before, so Spark shuffles the texts once for both.
+    joined = ordered.join(found, "doc_id", "left").select("doc_id", "text", "r.start", "r.count")
+    none = F.lit(None).cast("array<bigint>")
+    unnamed = named.where("doc_id IS NULL").select("doc_id", "text", none.alias("start"), none.alias("count"))
 
     def run(batches):
         for b in batches:
@@ -280,7 +287,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield out
 
     columns = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
-    return map_batches(joined, run, schema_of(columns))
+    return map_batches(joined.unionByName(unnamed), run, schema_of(columns))
 
 
 def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
