@@ -374,6 +374,14 @@ BODIES = {
     "staging_valid_rows": f"SELECT {STAGED} FROM kept",
     "dim_roundtrip": "SELECT product_key, stock_code, description FROM dim_product",
     "fact_roundtrip": f"SELECT {FACT} FROM fact",
+    "scan_raw_reordered": f"SELECT {LANDED}, {LINE} FROM raw",
+    "dim_append": """SELECT count(*) AS row_count, count(*) AS distinct_keys, count(*) AS distinct_products,
+  count(*)::BIGINT AS last_key, count(*) FILTER (product_key % 2 = 1) AS rows_loaded FROM dim_product""",
+    "fact_append": """SELECT count(*) AS row_count, count(*) AS distinct_ids,
+  count(*) FILTER (product_key % 2 = 1) AS rows_loaded FROM fact""",
+    "retention_rows": """SELECT invoice_date IS NULL AS no_stamp, stock_code, count(*) AS row_count,
+  sum(quantity)::BIGINT AS quantity FROM raw
+WHERE NOT coalesce(invoice_date < TIMESTAMP '2002-01-01' - INTERVAL 365 DAY, false) GROUP BY 1, 2""",
     "staging_retention": """SELECT count(*) FILTER (expired) AS rows_deleted,
   count(*) FILTER (NOT expired) AS rows_kept
 FROM (SELECT coalesce(invoice_date < TIMESTAMP '2002-01-01' - INTERVAL 365 DAY, false) AS expired
@@ -384,7 +392,7 @@ UNION ALL SELECT 'dim_product', count(*) FROM dim_product""",
     "report_manifest": """SELECT 'Daily_Quality_Metrics' AS sheet, count(*) AS rows FROM daily
 UNION ALL SELECT 'Customer_Data_Quality', count(*) FROM daily
 UNION ALL SELECT 'Return_Rate_Analysis', count(*) FROM daily
-UNION ALL SELECT 'Product_Quality', least(count(*), 1000) FROM dim_product
+UNION ALL SELECT 'Product_Quality', count(*) FROM dim_product
 UNION ALL SELECT 'Overall_Summary', 1
 UNION ALL SELECT 'Anomaly_Details', count(*) FROM anomalies
 UNION ALL SELECT 'Monthly_Trends', count(*) FROM months""",
@@ -659,8 +667,7 @@ ORDER BY n DESC, country LIMIT 10""",
   FROM return_rates""",
     "sheet_product_quality": """SELECT stock_code, description, transaction_count,
   CAST(total_revenue AS DOUBLE) AS total_revenue, missing_description, invalid_stock_code,
-  quality_score FROM products
-  ORDER BY products.total_revenue DESC NULLS LAST, stock_code LIMIT 1000""",
+  quality_score FROM products""",
 }
 
 _WITH = "WITH " + ",\n".join(f"{name} AS ({body.strip()})" for name, body in CTES.items())

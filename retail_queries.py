@@ -8,14 +8,14 @@ the shared folder. A query then runs its operator on the table it belongs to.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.functions.frames import stack
-from tallyhouse.functions.stamps import file_stamp, ntz, utc8
-from tallyhouse.operators import cleaning, fact as facts, integrity, reporting, rules, script_checks
+from tallyhouse.functions.stamps import file_stamp, utc8
+from tallyhouse.operators import cleaning, fact as facts, integrity, keys, reporting, rules, script_checks
 from tallyhouse.plans import checks, monitoring, report
 from tallyhouse.plans.warehouse import Star, build_star, build_stats
 from tallyhouse.schemas import DIMENSION_KEYS, NATURAL_KEYS, STAGING
@@ -156,6 +156,12 @@ def scan_raw_csv(b: Bench) -> DataFrame:
     return landing.scan_raw(b.spark, path, "csv", POSITION_SCHEMA)
 
 
+def scan_raw_reordered(b: Bench) -> DataFrame:
+    path = new_folder(b.spark, "landing-reordered")
+    b.landed.select(*reversed(b.landed.columns)).write.option("header", True).csv(path)
+    return landing.scan_raw(b.spark, path, "csv", POSITION_SCHEMA)
+
+
 def stage_roundtrip(b: Bench) -> DataFrame:
     path = new_folder(b.spark, "staging")
     return tables.load_staging(cleaning.clean(b.raw, POSITION), path, AS_OF).frame.select(
@@ -169,8 +175,47 @@ def dim_roundtrip(b: Bench) -> DataFrame:
 
 
 def fact_roundtrip(b: Bench) -> DataFrame:
-    rows = b.star.fact.drop("sale_id")
-    return tables.load_fact(rows, new_folder(b.spark, "fact")).frame.select(*facts.FACT_COLUMNS)
+    """Loaded twice into one folder: the second load replaces the first."""
+    rows, path = b.star.fact.drop("sale_id"), new_folder(b.spark, "fact")
+    tables.load_fact(rows, path)
+    return tables.load_fact(rows, path).frame.select(*facts.FACT_COLUMNS)
+
+
+def dim_append(b: Bench) -> DataFrame:
+    """Every other product, then all: keys go on, and known products are not added again."""
+    path, product = new_folder(b.spark, "dimension"), b.star.product
+    half = keys.with_dense_key(product.where("product_key % 2 = 0").drop("product_key"), "stock_code", "product_key")
+    tables.load_dimension(half, "dim_product", path)
+    loaded = tables.load_dimension(product, "dim_product", path, "append")
+    return loaded.frame.agg(
+        F.count("*").alias("row_count"),
+        F.countDistinct("product_key").alias("distinct_keys"),
+        F.countDistinct("stock_code").alias("distinct_products"),
+        F.max("product_key").alias("last_key"),
+        F.lit(loaded.rows_loaded).cast("long").alias("rows_loaded"),
+    )
+
+
+def fact_append(b: Bench) -> DataFrame:
+    """Two halves of the fact, the second appended."""
+    path, rows = new_folder(b.spark, "fact"), b.star.fact
+    tables.load_fact(rows.where("product_key % 2 = 0").drop("sale_id"), path)
+    loaded = tables.load_fact(rows.where("product_key % 2 = 1").drop("sale_id"), path, "append")
+    return loaded.frame.agg(
+        F.count("*").alias("row_count"),
+        F.countDistinct("sale_id").alias("distinct_ids"),
+        F.lit(loaded.rows_loaded).cast("long").alias("rows_loaded"),
+    )
+
+
+def retention_rows(b: Bench) -> DataFrame:
+    """What is left of a staging table after retention changed it."""
+    path = new_folder(b.spark, "staging")
+    b.lines.write.parquet(path)
+    kept = tables.apply_retention(b.spark, path, AS_OF, KEEP_DAYS)
+    return kept.frame.groupBy(F.col("created_at").isNull().alias("no_stamp"), "stock_code").agg(
+        F.count("*").alias("row_count"), F.sum("quantity").alias("quantity")
+    )
 
 
 def table_row_counts(b: Bench) -> DataFrame:
@@ -248,12 +293,16 @@ OPERATORS: dict[str, Callable[[Bench], DataFrame]] = {
     # sources, sinks, contracts
     "scan_raw": lambda b: b.landed,
     "scan_raw_csv": scan_raw_csv,
+    "scan_raw_reordered": scan_raw_reordered,
     "canonical_columns": lambda b: landing.canonical_columns(b.landed),
     "stage_projection": lambda b: landing.stage_projection(b.raw),
     "stage_roundtrip": stage_roundtrip,
     "staging_valid_rows": lambda b: landing.staging_valid_rows(landing.stage_projection(b.raw)),
     "dim_roundtrip": dim_roundtrip,
     "fact_roundtrip": fact_roundtrip,
+    "dim_append": dim_append,
+    "fact_append": fact_append,
+    "retention_rows": retention_rows,
     "staging_retention": lambda b: tables.retention_split(b.lines, AS_OF, KEEP_DAYS),
     "table_row_counts": table_row_counts,
     "report_manifest": report_manifest,

@@ -10,8 +10,10 @@ import logging
 import sys
 from datetime import datetime
 
+from pyspark.sql import types as T
+
 from tallyhouse.plans import monitoring, pipeline
-from tallyhouse.session import build_session, sizing
+from tallyhouse.session import build_session, measured_bytes, sizing
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -22,20 +24,26 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--report-format", default="csv", choices=("parquet", "csv"))
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="UTC time of the run")
     parser.add_argument("--keep-days", type=int, default=7, help="staging retention")
-    parser.add_argument("--input-gb", type=int, help="rough input size, to size the shuffles")
+    parser.add_argument("--position", help="landed whole-number column that gives the source order")
     return parser.parse_args(argv)
 
 
+# Results of one row, and rankings with a length of their own; the rest is in the folder.
+_SHOWN = ("Run_Summary", "Quality_Dashboard", "Load_Warnings", "Build_Stats", "Top_Countries_By_Revenue", "Top_Products")
+
+
 def _show(title: str, df) -> None:
     print(f"\n{title}")
-    df.show(50, truncate=False, vertical=len(df.columns) > 6)
+    df.show(truncate=False, vertical=len(df.columns) > 6)
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     logging.basicConfig(level=logging.INFO)
-    settings = sizing(args.input_gb << 30) if args.input_gb else {}
-    spark = build_session(**settings)
+    spark = build_session()
+    for name, value in sizing(measured_bytes(spark, args.in_dir)).items():
+        spark.conf.set(name, value)
+    extra = T.StructType([T.StructField(args.position, T.LongType())]) if args.position else None
     try:
         done = pipeline.run(
             spark,
@@ -43,6 +51,8 @@ def main(argv: list[str] | None = None) -> int:
             args.out_dir,
             args.as_of,
             args.format,
+            position=[args.position] if args.position else (),
+            extra=extra,
             report_fmt=args.report_format,
             keep_days=args.keep_days,
         )
@@ -58,8 +68,9 @@ def main(argv: list[str] | None = None) -> int:
             monitoring.product_quality(done.star.fact, done.star.product),
         ),
     )
-    for name, result in done.results.items():
-        _show(name, result)
+    for name in _SHOWN:
+        _show(name, done.results[name])
+    print(f"\nAll {len(done.results)} results: {args.out_dir}/run_results")
     return 0
 
 

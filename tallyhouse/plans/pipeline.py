@@ -24,9 +24,10 @@ from tallyhouse.operators.reporting import (
 )
 from tallyhouse.operators.script_checks import run_script
 from tallyhouse.plans.checks import (
-    checks_report,
+    checks_report_isolated,
     checks_summary,
     default_checks,
+    failed_checks,
     quality_dashboard,
     quality_score,
 )
@@ -67,7 +68,7 @@ def enforce_gate(gate: DataFrame) -> None:
     row = gate.first()
     if row["overall_status"] != "PASS":
         raise GateFailed(
-            "Data quality validation failed: "
+            "The load gate did not pass: "
             f"integrity={row['integrity_issues']}, business={row['business_issues']}"
         )
 
@@ -92,6 +93,8 @@ def run(
 
     staging = load_staging(clean(raw, position), f"{out_dir}/raw_retail_data", as_of)
     log.info("Staged %d rows", staging.rows_loaded)
+    if not staging.rows_loaded:
+        log.warning("No landed row was left after cleaning")
     star = build_star(staging.frame, out_dir, as_of)
 
     issues = materialise(business_rules(star.fact, star.time, as_of.date()), "business-rules")
@@ -103,7 +106,7 @@ def run(
     enforce_gate(gate)
 
     tables = {"raw": staging.frame, "fact": star.fact, **star.dimensions}
-    checked = materialise(checks_report(spark, tables, default_checks(as_of)), "checks")
+    checked = materialise(checks_report_isolated(spark, tables, default_checks(as_of)), "checks")
     daily = materialise(daily_profile(star.fact, star.time), "daily-profile")
     stamp = file_stamp(as_of)
     sheets = write_report(
@@ -123,6 +126,8 @@ def run(
         "Quality_Dashboard": quality_dashboard(
             checked, quality_metrics(staging.frame, star, stamps=True)
         ).withColumn("last_check_time", ntz(as_of)),
+        "Checks_Report": checked.withColumn("check_time", ntz(as_of)),
+        "Failed_Checks": failed_checks(checked).withColumn("check_time", ntz(as_of)),
         "Load_Warnings": warnings,
         "Extraction_Summary": extraction_summary(staging.frame),
         "Build_Stats": build_stats(staging.frame, star, as_of),
@@ -136,7 +141,7 @@ def run(
     retained = None
     try:
         retained = apply_retention(
-            staging.frame, f"{out_dir}/raw_retail_data_kept", as_of, keep_days
+            spark, f"{out_dir}/raw_retail_data", as_of, keep_days
         )
         log.info("Retention deleted %d staged rows", retained.rows_deleted)
     except Exception:  # clean-up trouble never fails a finished run

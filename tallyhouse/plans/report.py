@@ -10,9 +10,6 @@ from tallyhouse.functions.frames import side_by_side
 from tallyhouse.functions.stamps import ntz, utc8
 from tallyhouse.plans import monitoring
 
-# Fixed value: rows of the product sheet.
-PRODUCT_SHEET_ROWS = 1000
-
 
 def sheet_daily_quality_metrics(sales: DataFrame) -> DataFrame:
     return sales.select(
@@ -51,20 +48,16 @@ def sheet_return_rate_analysis(returns: DataFrame) -> DataFrame:
 
 
 def sheet_product_quality(products: DataFrame) -> DataFrame:
-    """The products with the highest revenue; the cut is the sheet's own."""
-    return (
-        products.select(
-            "stock_code",
-            "description",
-            "transaction_count",
-            "total_revenue",
-            "missing_description",
-            "invalid_stock_code",
-            "quality_score",
-        )
-        .orderBy(F.desc_nulls_last("total_revenue"), "stock_code")
-        .limit(PRODUCT_SHEET_ROWS)
-    )
+    """All products, those with the highest revenue first."""
+    return products.select(
+        "stock_code",
+        "description",
+        "transaction_count",
+        "total_revenue",
+        "missing_description",
+        "invalid_stock_code",
+        "quality_score",
+    ).orderBy(F.desc_nulls_last("total_revenue"), "stock_code")
 
 
 def report_sheets(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -36,20 +36,28 @@ def build_session(app_name: str = "tallyhouse", **settings: str) -> SparkSession
     return builder.getOrCreate()
 
 
-def sizing(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+def sizing(input_bytes: int) -> dict[str, str]:
     """Shuffle settings for an input of this size.
 
     AQE can merge shuffle partitions but not add any, so it has to start from
-    enough of them: about one per ``partition_bytes`` of input.
+    enough of them. Partitions grow from 128 MB to 2 GB with the input (sorts and
+    aggregations spill beyond memory), so that 100 TB start from some fifty thousand: the
+    driver keeps a size for every pair of a map and a reduce task.
     """
-    partitions = max(8, -(-input_bytes // partition_bytes))
+    partition = min(2 << 30, max(128 << 20, input_bytes // 10_000))
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(max(8, -(-input_bytes // partition))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(partition, 256 << 20)),
+        "spark.sql.files.maxPartitionBytes": str(min(partition, 1 << 30)),
     }
 
 
+def measured_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below ``path``, from the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -83,16 +91,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Hash rows over all cores when the input arrives in fewer splits than there are cores.
-
-    A few small files would otherwise keep one core busy. Larger inputs have more
-    splits than cores and stay as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
-
-
 def together(**jobs: Callable[[], Any]) -> dict[str, Any]:
     """Run independent jobs at the same time, so small ones do not leave the cluster idle.
 

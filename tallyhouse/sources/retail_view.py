@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.schemas import PRICE
-from tallyhouse.session import spread
 
 # Line position in the source: decides which copy of a duplicate comes first.
 POSITION = ("src_order", "src_line", "src_part", "src_supp")
@@ -48,7 +47,6 @@ def retail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
     )
-    lines = spread(lines, "l_orderkey", "l_linenumber")
     joined = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
         placed, F.col("l_orderkey") == F.col("o_orderkey")
     )

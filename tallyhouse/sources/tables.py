@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 from functools import partial
 
@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.frames import stack
 from tallyhouse.functions.stamps import ntz
-from tallyhouse.session import together
+from tallyhouse.operators.keys import with_dense_key
+from tallyhouse.schemas import DIMENSION_KEYS, NATURAL_KEYS
+from tallyhouse.session import materialise, together
 from tallyhouse.sources.landing import stage_projection
 
 
@@ -57,10 +59,22 @@ def load_staging(cleaned: DataFrame, path: str, as_of: datetime) -> Loaded:
 def load_dimension(
     dim: DataFrame, table: str, path: str, mode: str = "overwrite", as_of: datetime | None = None
 ) -> Loaded:
-    """Replace or extend a dimension. Look-ups join to the table; no key map is collected."""
+    """Replace or extend a dimension. Look-ups join to the table; no key map is collected.
+
+    ``append`` adds only natural keys the table does not have, numbered on from its largest key.
+    """
+    spark, key, natural = dim.sparkSession, DIMENSION_KEYS[table], NATURAL_KEYS[table]
+    before = 0
+    if mode == "append" and table_exists(spark, path):
+        old = spark.read.parquet(path)
+        before, top = old.agg(F.count("*"), F.coalesce(F.max(key), F.lit(0))).first()
+        new = dim.drop(key).join(old.select(natural), natural, "left_anti")
+        numbered = with_dense_key(new, natural, key)
+        dim = numbered.withColumn(key, F.col(key) + top).select(*dim.columns)
     rows = dim if as_of is None else dim.withColumn("created_at", ntz(as_of))
     rows.write.mode(mode).parquet(path)
-    return _loaded(table, rows, path, as_of)
+    loaded = _loaded(table, rows, path, as_of)
+    return replace(loaded, rows_loaded=loaded.rows_loaded - before)
 
 
 def load_fact(
@@ -68,21 +82,24 @@ def load_fact(
 ) -> Loaded:
     """Replace or extend the fact table, laid out by year and month.
 
-    An empty fact leaves an existing table as it is. The rebalance hint lets AQE
-    merge small months and split large ones, so a month that holds a third of
-    all rows becomes many well-sized files rather than one long task.
+    The rebalance hint lets AQE merge small months and split large ones, so a month
+    that holds a third of all rows becomes many well-sized files rather than one long
+    task. An empty fact empties the table. ``append`` counts its ids on from the largest one.
     """
     spark = fact.sparkSession
-    if mode == "overwrite" and table_exists(spark, path) and fact.isEmpty():
-        return Loaded("fact_sales", 0, as_of, spark.read.parquet(path))
+    before = top = 0
+    if mode == "append" and table_exists(spark, path):
+        old = spark.read.parquet(path)
+        before, top = old.agg(F.count("*"), F.coalesce(F.max("sale_id"), F.lit(0))).first()
     # The row id is unique, not gapless: nothing but uniqueness is ever asked of it.
     rows = fact.hint("rebalance", "year", "month").withColumn(
-        "sale_id", F.monotonically_increasing_id() + 1
+        "sale_id", F.monotonically_increasing_id() + 1 + top
     )
     if as_of is not None:
         rows = rows.withColumn("created_at", ntz(as_of))
     rows.write.mode(mode).partitionBy("year", "month").parquet(path)
-    return _loaded("fact_sales", rows, path, as_of)
+    loaded = _loaded("fact_sales", rows, path, as_of)
+    return replace(loaded, rows_loaded=loaded.rows_loaded - before)
 
 
 @dataclass(frozen=True)
@@ -107,19 +124,19 @@ def retention_split(staged: DataFrame, as_of: datetime, keep_days: int = 7) -> D
 
 
 def apply_retention(
-    staged: DataFrame, path: str, as_of: datetime, keep_days: int = 7
+    spark: SparkSession, path: str, as_of: datetime, keep_days: int = 7
 ) -> Retained:
-    """Write the rows that retention keeps to ``path`` (a new one, never the one being read).
+    """Drop the stale rows of the staging table at ``path`` from that table.
 
-    The count comes first: it reads one column, and when nothing is stale, as
-    after every full refresh, the table is returned as it is instead of copied.
+    The survivors are written aside first, since a table cannot be replaced while it is
+    read. The count reads one column; a table without stale rows is not rewritten.
     """
+    staged = spark.read.parquet(path)
     deleted = retention_split(staged, as_of, keep_days).first()["rows_deleted"]
-    if not deleted:
-        return Retained(staged, 0)
-    kept = staged.where(~F.coalesce(_is_stale(as_of, keep_days), F.lit(False)))
-    kept.write.mode("overwrite").parquet(path)
-    return Retained(_read_back(kept, path), deleted)
+    if deleted:
+        kept = staged.where(~F.coalesce(_is_stale(as_of, keep_days), F.lit(False)))
+        materialise(kept, "retention").write.mode("overwrite").parquet(path)
+    return Retained(_read_back(staged, path), deleted)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -41,7 +41,7 @@ def test_full_run(spark, tmp_path):
     dashboard = frames.one(done.results["Quality_Dashboard"])
     assert (dashboard["quality_score"], dashboard["overall_status"]) == (100.0, "PASS")
     assert dashboard["last_warehouse_load"] == AS_OF
-    assert len(done.sheets) == 7 and len(done.results) == 18
+    assert len(done.sheets) == 7 and len(done.results) == 20
     assert (tmp_path / "out" / "quality_reports" / "report_ts=20100402_0800").is_dir()
     assert done.retained.rows_deleted == 0
     assert done.retained.frame.count() == 81
