@@ -333,7 +333,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = materialise(once.select(F.monotonically_increasing_id().alias("tid"), "digest", "copies", "a.*"), "texts")
     anchor = F.explode(F.arrays_zip("at", "hash", "first", "last"))
     places = texts.select("tid", anchor.alias("p")).select("tid", "p.*")
-    shared = places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    # A table of its own, so that both sides of the join are plain shuffles and Spark can split a hot hash.
+    shared = materialise(places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     hits = materialise(places.join(shared, "hash"), "hits")
     totals = hits.where(F.col("n") <= hot).count()
     buckets = max(1, -(-totals // BUCKET_ROWS))
