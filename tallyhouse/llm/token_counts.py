@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.common import map_batches, schema_of
+from tallyhouse.session import materialise
 
 CACHE_SCHEMA = "version string, digest string, n_tokens long"
 
@@ -67,12 +68,9 @@ def count_tokens(
     new.write.mode("append").parquet(cache_path)
 
     # A run that was repeated after a lost driver may have appended a digest twice.
-    counts = (
-        read_cache(spark, cache_path)
-        .where(F.col("version") == version)
-        .groupBy("digest")
-        .agg(F.max("n_tokens").alias("n_tokens"))
-    )
+    # Written, so that both sides of the join are plain shuffles and Spark can split a hot digest.
+    cached = read_cache(spark, cache_path).where(F.col("version") == version)
+    counts = materialise(cached.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     rows = hashed.select("doc_id", "digest", F.octet_length("content").cast("long").alias("n_bytes"))
     return rows.join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
