@@ -71,7 +71,8 @@ def load_dimension(
         new = dim.drop(key).join(old.select(natural), natural, "left_anti")
         numbered = with_dense_key(new, natural, key)
         dim = numbered.withColumn(key, F.col(key) + top).select(*dim.columns)
-    rows = dim if as_of is None else dim.withColumn("created_at", ntz(as_of))
+    stamps = ["created_at"] if table == "dim_time" else ["created_at", "updated_at"]
+    rows = dim if as_of is None else dim.withColumns({name: ntz(as_of) for name in stamps})
     rows.write.mode(mode).parquet(path)
     loaded = _loaded(table, rows, path, as_of)
     return replace(loaded, rows_loaded=loaded.rows_loaded - before)
