@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -174,43 +174,46 @@ def report(scanned: DataFrame) -> DataFrame:
     )
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the contaminated ones; documents with fewer hits stay whole."""
-    verdicts = report(scan(docs, benchmark, id_col, text_col))
-    bad = verdicts.where("contaminated").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad[id_col]), "left_anti")
+def remove_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` without the contaminated rows; documents with fewer hits stay whole.
+
+    Each row is judged by its own text, also where ids are null or repeat, so the rows get a number first.
+    """
+    row = F.monotonically_increasing_id().alias("row")
+    rows = materialise(docs.select(row, F.struct("*").alias("doc")), "decontaminate-rows")
+    scanned = scan(rows.select("row", F.col("doc")[text_col].alias("text")), benchmark, "row")
+    bad = report(scanned).where("contaminated").select(F.col("doc_id").alias("row"))
+    return rows.join(bad, "row", "left_anti").select("doc.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``(text)`` of every row with the hit words cut out, and the other bytes as they were."""
-    kept = docs.select(F.col(text_col).alias("text"))
-    for block in list(_blocks(benchmark, item_col, item_text_col, block_words)):
-        kept = _cut_block(kept, block)
-    return kept
-
+    """``docs`` with the hit words cut out of the text; its other bytes and all other columns stay.
 
-def _cut_block(texts: DataFrame, block: list[tuple]) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(block)
+    Words are judged on the text as it was given, by every block.
+    """
+    rows = materialise(
+        docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "decontaminate-rows"
+    )
+    given = rows.select("row", F.col("doc")[text_col].alias("text"))
+    hit = scan(given, benchmark, "row", "text", item_col, item_text_col, block_words).where(F.size("hits") > 0)
+    texts = given.join(hit.select(F.col("doc_id").alias("row"), "hits"), "row")
 
     def run(batches):
-        windows = Windows(shared.value)
         for b in batches:
-            yield {"text": [cut_words(t, windows) for t in b["text"]]}
+            yield {"row": b["row"], "new_text": [cut_words(t, set(h)) for t, h in zip(b["text"], b["hits"])]}
 
-    return map_batches(texts, run, schema_of("text string"))
+    cut = map_batches(texts, run, schema_of("row long, new_text string"))
+    text = F.coalesce("new_text", F.col("doc")[text_col])
+    return rows.join(cut, "row", "left").select(
+        *[(text if c == text_col else F.col("doc")[c]).alias(c) for c in docs.columns]
+    )
 
 
-def cut_words(text: str | None, windows: Windows) -> str | None:
-    """A text without the words that ``windows`` hits."""
-    ids = np.array([windows.numbers.get(w, 0) for w in letter_words(text)], dtype=np.uint64)
-    hit = {i for s, size, _ in windows.scan(ids) for i in range(s, s + size)}
-    if not hit:
-        return text
-    nth = iter(range(len(ids)))
-    return re.sub(
-        rb"[0-9A-Za-z\x80-\xff]+", lambda m: b"" if next(nth) in hit else m[0], text.encode()
-    ).decode()
+def cut_words(text: str, hit: set[int]) -> str:
+    """A text without the words at these positions."""
+    nth = count()
+    return re.sub(rb"[0-9A-Za-z\x80-\xff]+", lambda m: b"" if next(nth) in hit else m[0], text.encode("utf-8", "replace")).decode()
 
 
 SQL = r"""

@@ -105,17 +105,40 @@ def test_decontamination(docs, spark):
     wanted = Counter(brute.decontaminate(texts(docs), items))
     assert rows(decontaminate.report(decontaminate.scan(docs, bench))) == wanted
     assert rows(decontaminate.report(decontaminate.scan(docs, bench, block_words=100))) == wanted
+    given = texts(docs)
     left = decontaminate.remove_documents(docs, bench)
-    bad = {d for d, *_, dirty in wanted if dirty}
-    assert Counter(texts(left)) == Counter(t for t in texts(docs) if t[0] not in bad)
+    assert left.columns == docs.columns
+    verdicts = brute.decontaminate(given, items)
+    assert Counter(texts(left)) == Counter(t for t, (*_, dirty) in zip(given, verdicts) if not dirty)
+
+
+def test_decontamination_judges_rows(spark):
+    """Rows without an id, or with the id of another row, go by their own text only."""
+    item = "zero one two three four five six seven eight nine ten eleven twelve"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    given = [(None, item), (None, "clean words"), (3, "so " + item), (3, "clean as well"), (4, None)]
+    docs = spark.createDataFrame([(*r, "x") for r in given], "doc_id long, text string, row string")
+    left = decontaminate.remove_documents(docs, bench)
+    assert left.columns == docs.columns and Counter(texts(left)) == Counter([given[1], given[3], given[4]])
+    cut = decontaminate.remove_spans(docs, bench)
+    assert cut.columns == docs.columns and {r.row for r in cut.collect()} == {"x"}
+    assert Counter((d, t and " ".join(t.split())) for d, t in texts(cut)) == Counter(
+        [(None, ""), given[1], (3, "so"), given[3], given[4]]
+    )
 
 
 def test_decontamination_cuts_spans(spark, sample):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
-    cut = decontaminate.remove_spans(sample, bench)
-    assert cut.count() == sample.count()
-    before = decontaminate.scan(sample, bench).where("size(hits) > 0").count()
-    assert before and not decontaminate.scan(cut.selectExpr("0L AS doc_id", "text"), bench).where("size(hits) > 0").count()
+    hits = {r.doc_id: set(r.hits) for r in decontaminate.scan(sample, bench).collect()}
+    assert any(hits.values())
+    whole = {d: brute.LETTER_WORD.findall(brute.lower(t)) for d, t in texts(sample)}
+    for block_words in (decontaminate.BLOCK_WORDS, 100):
+        cut = decontaminate.remove_spans(sample, bench, block_words=block_words)
+        assert cut.columns == sample.columns
+        left = {d: brute.LETTER_WORD.findall(brute.lower(t)) for d, t in texts(cut)}
+        assert left == {d: [w for i, w in enumerate(ws) if i not in hits[d]] for d, ws in whole.items()}
+    same = {d: t for d, t in texts(sample) if not hits[d]}
+    assert same == {d: t for d, t in texts(cut) if not hits[d]}
 
 
 def test_token_counts(docs, tmp_path):
