@@ -1,9 +1,9 @@
 """Time the engine on the order tables and print one JSON line.
 
-The table builds are timed as entries of their own (``build_*``), and
-``full_run`` repeats everything from the source tables on: landing, staging,
-star schema, gate inputs, checks, statistics and report. Every query writes all
-of its rows to a sink that discards them.
+The table builds are timed as entries of their own (``build_*``), so ``dim_*`` and
+``fact_sales`` time the reading of written tables. ``full_run`` is the whole job from landed
+files to report, checks and retention in a fresh folder, ``full_run_again`` the same as a
+refresh of that folder. Every query writes all of its rows to a sink that discards them.
 """
 
 from __future__ import annotations
@@ -17,11 +17,9 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import retail_queries  # noqa: E402
-from retail_queries import AS_OF, Bench  # noqa: E402
-from tallyhouse.functions.stamps import file_stamp  # noqa: E402
-from tallyhouse.plans.report import report_sheets  # noqa: E402
+from retail_queries import AS_OF, KEEP_DAYS, POSITION, POSITION_SCHEMA, Bench  # noqa: E402
+from tallyhouse.plans import pipeline  # noqa: E402
 from tallyhouse.session import build_session, new_folder  # noqa: E402
-from tallyhouse.sources.tables import write_report  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -31,12 +29,18 @@ def run_all(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def full_run(spark) -> None:
-    b = Bench(spark, SF_DIR)
-    for df in (b.issues, b.orphaned, b.report, b.metrics):
-        run_all(df)
-    sheets = report_sheets(b.daily, b.star.fact, b.star.time, b.star.product, AS_OF)
-    write_report(sheets, new_folder(spark, "report"), file_stamp(AS_OF))
+def passing_landing(b: Bench) -> str:
+    """The landed rows that have a country: the gate refuses the load of the others, as it should."""
+    path = new_folder(b.spark, "landing-passing")
+    b.landed.where("trim(Country) <> ''").write.parquet(path)
+    return path
+
+
+def full_run(spark, in_path: str, out_dir: str) -> None:
+    """The whole job from landed files to report, checks and retention."""
+    pipeline.run(
+        spark, in_path, out_dir, as_of=AS_OF, position=POSITION, extra=POSITION_SCHEMA, keep_days=KEEP_DAYS
+    )
 
 
 def main() -> None:
@@ -65,7 +69,9 @@ def main() -> None:
     timed("build_daily", lambda: b.daily)
     for name, query in retail_queries.queries().items():
         timed(name, lambda query=query: run_all(query(spark, SF_DIR)))
-    timed("full_run", lambda: full_run(spark))
+    in_path, out_dir = passing_landing(b), new_folder(spark, "bench")
+    timed("full_run", lambda: full_run(spark, in_path, out_dir))
+    timed("full_run_again", lambda: full_run(spark, in_path, out_dir))
     print(
         json.dumps(
             {

@@ -24,8 +24,3 @@ def z_score(value: Column, centre: Column, spread: Column) -> Column:
 def band(value: Column, low: Column, high: Column) -> Column:
     """Low / High outside the open limits, Normal inside them or when a limit is null."""
     return F.when(value < low, "Low").when(value > high, "High").otherwise("Normal")
-
-
-def flag_count(condition: Column) -> Column:
-    """Rows for which ``condition`` holds; 0 (not null) on an empty table."""
-    return F.count_if(condition)

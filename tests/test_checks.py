@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import script_checks
 from tallyhouse.plans import checks
+from tallyhouse.session import materialise
 
 AS_OF = datetime(2010, 3, 3, 9, 0)
 
@@ -164,6 +165,26 @@ def test_script_returns_all_ten(spark, tables):
     assert frames.one(found["Duplicate Check"])["duplicates"] == 0
 
 
+def test_script_reads_its_rows_few_times(spark, tables):
+    """Fused profiles equal the single ones, and only the distinct count goes back to the rows."""
+    t = tables()
+    raw = materialise(t["raw"], "test-raw")
+    files = set(raw.inputFiles())
+    found = script_checks.run_script(raw, t["fact"], t, AS_OF)
+    assert {n for n, f in found.items() if files & set(f.inputFiles())} == {"Duplicate Check"}
+    single = {
+        "Critical Null Check": script_checks.critical_nulls(raw),
+        "Range Validation": script_checks.ranges(raw),
+        "Return Analysis": script_checks.returns(raw),
+        "Date Range Check": script_checks.date_range(raw),
+        "Country Validation": script_checks.countries(raw),
+        "Top Countries": script_checks.top_countries_share(raw),
+        "Data Freshness": script_checks.freshness(raw, AS_OF),
+    }
+    for name, alone in single.items():
+        assert found[name].dtypes == alone.dtypes and found[name].collect() == alone.collect()
+
+
 def test_script_on_edge_rows(spark):
     rows = frames.staged(
         spark,
