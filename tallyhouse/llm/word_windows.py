@@ -145,9 +145,9 @@ def repeated_halves(docs: DataFrame, window: int) -> DataFrame:
             yield bucket, blob
         own = table[size > 1]
         if len(own):
-            # Settled entries only pass through; they spread over the buckets like the others.
-            for bucket, blob in _send(own[:, 0], np.c_[own, np.full(len(own), 2, dtype=np.uint64)], buckets):
-                yield bucket, blob
+            # Settled entries only pass through, so they go by document: by their window, all documents
+            # that share it would meet in one bucket.
+            yield from _send(_spread(own[:, 1]), np.c_[own, np.full(len(own), 2, dtype=np.uint64)], buckets)
 
     def run(batches):
         hasher, held, size = Hasher(window), [], 0
