@@ -316,7 +316,8 @@ def hot_spans(found: DataFrame, length: int) -> DataFrame:
                 yield {"tid": [tid] * len(starts), "start": starts, "key": keys}
 
     windows = materialise(map_batches(found, run, schema_of("tid long, start long, key binary")), "hot-windows")
-    again = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Written, so that both sides of the join are plain shuffles and Spark can split a hot string.
+    again = materialise(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "hot-keys")
     return windows.join(again, "key").select("tid", "start", (F.col("start") + length).alias("end"))
 
 
