@@ -37,10 +37,12 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Written, so that both sides of the join are plain shuffles and Spark can split the centre of a large star.
+    least = materialise(least, "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     rest = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
