@@ -10,7 +10,7 @@ task of its own, and the weights are averaged. All rows are scored.
 
 Empty cases: a text without words has the bias alone as its score. Labels that are null or whose
 document is missing are not used; a document labelled more than once is toxic if any label says
-so. Without labels the score is 0.5 for every text. Repeated rows are scored each.
+so. Of rows that repeat a labelled id the least text is learned from. Without labels the score is 0.5 for every text. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -109,7 +109,9 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, sample_rows: int
     sample = usable.where(draw < int(share * (1 << 30))).select(
         "doc_id", "toxic", draw.alias("order"), F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).alias("shard")
     )
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    matched = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # Rows that repeat an id are one example, so that no id can fill a shard.
+    chosen = matched.groupBy("doc_id", "toxic", "order", "shard").agg(F.min("text").alias("text"))
 
     def fit_shard(batches):
         shard_examples: dict[int, list] = {}
