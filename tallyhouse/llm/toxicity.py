@@ -6,7 +6,9 @@ keeps all weights at zero that do not earn one, so the model is a short list tha
 
 The model is fitted on at most ``sample_rows`` labelled rows (a documented bound; which rows, a
 hash of the id decides). They are dealt into shards of ``shard_rows``, each shard is fitted in a
-task of its own, and the weights are averaged. All rows are scored.
+task of its own, and the weights are averaged. Toxic rows are rare, so the bias is moved by the log of
+the labels' ratio: the score is the chance of label 1 if both labels were equally frequent. All rows
+are scored.
 
 Empty cases: a text without words has the bias alone as its score. Labels that are null or whose
 document is missing are not used; a document labelled more than once is toxic if any label says
@@ -15,7 +17,7 @@ so. Of rows that repeat a labelled id the least text is learned from. Without la
 
 from __future__ import annotations
 
-from math import exp
+from math import exp, log
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,7 +26,7 @@ from tallyhouse.llm.common import letter_words, map_batches, schema_of
 
 HASH_BITS = 24
 SAMPLE_ROWS, SHARD_ROWS = 40_000, 10_000
-ALPHA, BETA, L1, L2, EPOCHS = 3.0, 1.0, 4.5, 0.1, 3
+ALPHA, BETA, L1, L2, EPOCHS = 3.0, 1.0, 4.5, 0.1, 8
 THRESHOLD = 0.7
 # Texts are scored in runs of about this many words.
 CHUNK_WORDS = 200_000
@@ -101,7 +103,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, sample_rows: int
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    rows = usable.count()
+    rows, toxic = usable.agg(F.count("*"), F.count_if(F.col("toxic") > 0)).first()
     share = min(1.0, sample_rows / max(rows, 1))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
     shards = max(1, round(rows * share / shard_rows))
@@ -126,7 +128,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, sample_rows: int
     dealt = chosen.select("shard", "order", "text", "toxic").repartition(shards, "shard").sortWithinPartitions("shard", "order")
     fitted = map_batches(dealt, fit_shard, schema_of("place long, weight double"))
     model = fitted.groupBy("place").agg((F.sum("weight") / shards).alias("weight"))
-    return [tuple(r) for r in model.collect()]
+    weights = dict(map(tuple, model.collect()))
+    if 0 < toxic < rows:
+        weights[BIAS] = weights.get(BIAS, 0.0) + log((rows - toxic) / toxic)
+    return list(weights.items())
 
 
 def score(docs: DataFrame, model: list[tuple[int, float]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
