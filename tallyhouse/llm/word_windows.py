@@ -11,7 +11,8 @@ So a window that a third of all documents share costs each task one entry.
 
 Empty cases: null and empty texts, and texts with fewer words than a window, lose nothing. A document
 with a null ``doc_id`` has no place in the order: it loses nothing and takes nothing away. Rows that
-repeat a ``doc_id`` are not smaller than each other; each is cut by its own text.
+repeat a ``doc_id`` are not smaller than each other; each is cut by its own text. Different texts of one
+``doc_id`` are told apart by a mark, the 64-bit digest of the text, which is zero for all other rows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.common import map_batches, schema_of, space_words
+from tallyhouse.session import materialise
 
 WINDOW = 13
 # Entries a task sorts at once.
@@ -131,8 +133,21 @@ def _ids(ordered: np.ndarray) -> np.ndarray:
     return (ordered ^ _SIGN).view(np.int64)
 
 
+def marked(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, mark)`` per row: the mark tells different texts of one ``doc_id`` apart."""
+    digest = F.xxhash64("text")
+    several = docs.groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high")).where("low <> high")
+    several = materialise(several.select("doc_id", F.lit(True).alias("several")), "several")
+    mark = F.when(F.col("several"), digest).otherwise(F.lit(0).cast("long"))
+    return docs.join(several, "doc_id", "left").select("doc_id", "text", mark.alias("mark"))
+
+
 def repeated_halves(docs: DataFrame, window: int) -> DataFrame:
-    """``(doc_id, hash)``: standing half windows that also stand in another document."""
+    """``(doc_id, mark, hash)``: standing half windows that also stand in another document.
+
+    Of texts with one ``doc_id`` in one task, those that share a window pass too; the next level
+    compares the documents.
+    """
     buckets = _buckets(docs)
 
     def settle(pairs: list[np.ndarray]):
@@ -147,16 +162,17 @@ def repeated_halves(docs: DataFrame, window: int) -> DataFrame:
         if len(own):
             # Settled entries only pass through, so they go by document: by their window, all documents
             # that share it would meet in one bucket.
-            yield from _send(_spread(own[:, 1]), np.c_[own, np.full(len(own), 2, dtype=np.uint64)], buckets)
+            yield from _send(_spread(own[:, 1] ^ own[:, 2]), np.c_[own, np.full(len(own), 2, dtype=np.uint64)], buckets)
 
     def run(batches):
         hasher, held, size = Hasher(window), [], 0
         for b in batches:
-            for doc_id, text in zip(b["doc_id"], b["text"]):
+            for doc_id, mark, text in zip(b["doc_id"], b["mark"], b["text"]):
                 found = np.unique(hasher.halves(hasher.words(text)))
                 if not len(found):
                     continue
-                held.append(np.c_[found, np.broadcast_to(_ordered(np.array([doc_id])), len(found))])
+                row = np.r_[_ordered(np.array([doc_id])), np.array([mark], dtype=np.int64).view(np.uint64)]
+                held.append(np.c_[found, np.broadcast_to(row, (len(found), 2))])
                 size += len(found)
                 if size > CHUNK:
                     yield dict(zip(("bucket", "numbers"), zip(*settle(held))))
@@ -166,67 +182,75 @@ def repeated_halves(docs: DataFrame, window: int) -> DataFrame:
 
     def solve(table: np.ndarray):
         table, group = _groups(table, 1)
-        passing = table[:, 2] == 2
+        passing = table[:, 3] == 2
         votes = ~passing
         low = np.full(group[-1] + 1, np.iinfo(np.uint64).max, dtype=np.uint64)
         high = np.zeros(group[-1] + 1, dtype=np.uint64)
         np.minimum.at(low, group[votes], table[votes, 1])
         np.maximum.at(high, group[votes], table[votes, 1])
         settled = np.zeros(group[-1] + 1, dtype=bool)
-        settled[group[table[:, 2] == 1]] = True
-        keep = passing | ((table[:, 2] == 0) & ((low < high) | settled)[group])
-        return {"doc_id": _ids(table[keep, 1]), "hash": table[keep, 0].view(np.int64)}
+        settled[group[table[:, 3] == 1]] = True
+        keep = passing | ((table[:, 3] == 0) & ((low < high) | settled)[group])
+        return {
+            "doc_id": _ids(table[keep, 1]), "mark": table[keep, 2].view(np.int64), "hash": table[keep, 0].view(np.int64),
+        }
 
     sent = map_batches(docs, run, schema_of(SENT))
-    return _receive(sent, 3, solve, "doc_id long, hash long")
+    return _receive(sent, 4, solve, "doc_id long, mark long, hash long")
 
 
 def later_windows(candidates: DataFrame, window: int) -> DataFrame:
-    """``(doc_id, start, count)``: runs of final windows that also start in a smaller document.
+    """``(doc_id, mark, start, count)``: runs of final windows that also start in a smaller document.
 
-    ``candidates`` has ``doc_id``, ``text`` and ``hashes``, the repeated half windows of the text.
+    ``candidates`` has ``doc_id``, ``mark``, ``text`` and ``hashes``, the repeated half windows of the text.
     """
     buckets = _buckets(candidates)
 
     def decide(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Columns k1, k2, doc, start and more: rows of later documents, and rows of the first."""
+        """Columns k1, k2, doc, mark, start and more: rows of later documents, and rows of the first."""
         table, group = _groups(table, 2)
         first = table[np.r_[True, np.diff(group) > 0], 2][group]
         later = table[:, 2] > first
         return table[later], table[~later]
 
     def runs(later: np.ndarray) -> dict:
-        later = later[np.lexsort((later[:, 3], later[:, 2]))]
-        doc, start = later[:, 2], later[:, 3].astype(np.int64)
-        new = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(start) != 1)]) if len(doc) else start
-        return {"doc_id": _ids(doc[new]), "start": start[new], "count": np.diff(np.r_[new, len(doc)])}
+        later = later[np.lexsort((later[:, 4], later[:, 3], later[:, 2]))]
+        doc, mark, start = later[:, 2], later[:, 3], later[:, 4].astype(np.int64)
+        change = (np.diff(doc) != 0) | (np.diff(mark) != 0) | (np.diff(start) != 1)
+        new = np.flatnonzero(np.r_[True, change]) if len(doc) else start
+        return {
+            "doc_id": _ids(doc[new]), "mark": mark[new].view(np.int64), "start": start[new],
+            "count": np.diff(np.r_[new, len(doc)]),
+        }
 
     def settle(held: list[np.ndarray]):
         later, first = decide(np.concatenate(held))
         # Equal windows have equal halves, so the half, sent along by nobody, picks the bucket;
         # windows of one run often share it and come back as one run.
-        yield from _send(first[:, 4], first[:, :4], buckets)
+        yield from _send(first[:, 5], first[:, :5], buckets)
         if len(later):
             # Marked by a start beyond any text, so that the receiver lets them pass.
             found = runs(later)
-            doc = _ordered(found["doc_id"])
+            doc, mark = _ordered(found["doc_id"]), found["mark"].view(np.uint64)
             table = np.c_[
-                found["count"].astype(np.uint64), np.zeros(len(doc), dtype=np.uint64), doc,
+                found["count"].astype(np.uint64), np.zeros(len(doc), dtype=np.uint64), doc, mark,
                 found["start"].astype(np.uint64) | _SIGN,
             ]
-            yield from _send(_spread(doc), table, buckets)
+            yield from _send(_spread(doc ^ mark), table, buckets)
 
     def run(batches):
         hasher, held, size = Hasher(window), [], 0
         for b in batches:
-            for doc_id, text, known in zip(b["doc_id"], b["text"], b["hashes"]):
+            for doc_id, mark, text, known in zip(b["doc_id"], b["mark"], b["text"], b["hashes"]):
                 words = hasher.words(text)
                 half = hasher.halves(words)
                 at = np.flatnonzero(np.isin(half, np.array(known, dtype=np.int64).view(np.uint64)))
                 if not len(at):
                     continue
                 k1, k2 = hasher.finals(words)
-                held.append(np.c_[k1[at], k2[at], _ordered(np.full(len(at), doc_id)), at.astype(np.uint64), half[at]])
+                doc = _ordered(np.full(len(at), doc_id))
+                own = np.full(len(at), mark, dtype=np.int64).view(np.uint64)
+                held.append(np.c_[k1[at], k2[at], doc, own, at.astype(np.uint64), half[at]])
                 size += len(at)
                 if size > CHUNK:
                     yield dict(zip(("bucket", "numbers"), zip(*settle(held))))
@@ -235,17 +259,20 @@ def later_windows(candidates: DataFrame, window: int) -> DataFrame:
             yield dict(zip(("bucket", "numbers"), zip(*settle(held))))
 
     def solve(table: np.ndarray):
-        passing = table[:, 3] >= _SIGN
+        passing = table[:, 4] >= _SIGN
         done, open_ = table[passing], table[~passing]
-        out = runs(decide(open_)[0]) if len(open_) else {"doc_id": [], "start": [], "count": []}
+        # Whole numbers even when empty: joined with floats, ids and marks beyond 2 ** 53 would be rounded.
+        none = np.zeros(0, dtype=np.int64)
+        out = runs(decide(open_)[0]) if len(open_) else dict.fromkeys(("doc_id", "mark", "start", "count"), none)
         return {
-            "doc_id": np.concatenate([out["doc_id"], _ids(done[:, 2])]).astype(np.int64),
-            "start": np.concatenate([out["start"], (done[:, 3] ^ _SIGN).astype(np.int64)]).astype(np.int64),
-            "count": np.concatenate([out["count"], done[:, 0].astype(np.int64)]).astype(np.int64),
+            "doc_id": np.concatenate([out["doc_id"], _ids(done[:, 2])]),
+            "mark": np.concatenate([out["mark"], done[:, 3].view(np.int64)]),
+            "start": np.concatenate([out["start"], (done[:, 4] ^ _SIGN).astype(np.int64)]),
+            "count": np.concatenate([out["count"], done[:, 0].astype(np.int64)]),
         }
 
-    sent = map_batches(candidates.select("doc_id", "text", "hashes"), run, schema_of(SENT))
-    return _receive(sent, 4, solve, "doc_id long, start long, count long")
+    sent = map_batches(candidates.select("doc_id", "mark", "text", "hashes"), run, schema_of(SENT))
+    return _receive(sent, 5, solve, "doc_id long, mark long, start long, count long")
 
 
 def _spread(numbers: np.ndarray) -> np.ndarray:
@@ -259,12 +286,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = docs.select(id_col, text_col).withColumnsRenamed(
         {a: b for a, b in ((id_col, "doc_id"), (text_col, "text")) if a != b}
     )
-    ordered = named.where("doc_id IS NOT NULL")
-    halves = repeated_halves(ordered, window).groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
-    runs = later_windows(ordered.join(halves, "doc_id"), window)
-    found = runs.groupBy("doc_id").agg(F.collect_set(F.struct("start", "count")).alias("r"))
+    ordered = marked(named.where("doc_id IS NOT NULL"))
+    key = ["doc_id", "mark"]
+    halves = repeated_halves(ordered, window).groupBy(*key).agg(F.collect_set("hash").alias("hashes"))
+    runs = later_windows(ordered.join(halves, key), window)
+    found = runs.groupBy(*key).agg(F.collect_set(F.struct("start", "count")).alias("r"))
     # The same rows by the same key as in the join before, so Spark shuffles the texts once for both.
-    joined = ordered.join(found, "doc_id", "left").select("doc_id", "text", "r.start", "r.count")
+    joined = ordered.join(found, key, "left").select("doc_id", "text", "r.start", "r.count")
     none = F.lit(None).cast("array<bigint>")
     unnamed = named.where("doc_id IS NULL").select("doc_id", "text", none.alias("start"), none.alias("count"))
 

@@ -253,6 +253,20 @@ def test_word_windows_in_small_chunks(odd, monkeypatch):
         assert rows(word_windows.report(odd, window)) == Counter(brute.word_windows(texts(odd), window))
 
 
+def test_word_windows_cut_each_text_of_an_id_by_its_own(spark, monkeypatch):
+    say = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    shared, other = say("shared", 20), say("other", 18)
+    given = [
+        (3, shared), (5, other + " " + say("five", 6)), (7, say("a", 40) + " " + shared + " " + say("b", 9)),
+        (7, other), (7, say("c", 70)), (7, "short"), (7, None), (9, say("c", 70)), (9, say("c", 30) + " " + other),
+    ]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    wanted = Counter(brute.word_windows(given))
+    assert rows(word_windows.report(docs.repartition(3))) == wanted
+    monkeypatch.setattr(word_windows, "CHUNK", 20)
+    assert rows(word_windows.report(docs.coalesce(1))) == wanted
+
+
 def test_licenses(docs):
     found = licenses.scan_licenses(docs)
     base = found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
