@@ -1,7 +1,8 @@
 """License scan: ordered signature rules, natively in Spark, one projection and no shuffle.
 
 Texts become lower-case letter words joined by single spaces. A rule is a regular expression with
-the keywords that must all stand in the text before it is tried, a priority and a confidence.
+the keywords a text must have before it is tried, a priority and a confidence. Keywords come in groups of
+which any one word must stand in the text; every match has one of each group, so the gate changes no result.
 Overlapping detections are resolved by containment: one that lies within a detection of a better
 or equal priority is dropped, of two for the same words at equal priority the later label. Labels are those of the remaining detections and of the base phrases,
 which are never dropped.
@@ -26,73 +27,74 @@ BASE = (
     ("mit license", "mit"),
 )
 
-# Hand-written names: label, keyword, name as an expression over normalised words, identifier.
+# Hand-written names: label, keywords, name as an expression over normalised words, identifier.
+# Every alternative of the name, and the identifier, has one of the keywords.
 NAMES = r"""
-agpl      | affero     | gnu affero general public licen[cs]e|agpl                  | agpl
-lgpl      | lesser     | gnu (?:lesser|library) general public licen[cs]e           | lgpl
+agpl      | affero agpl | gnu affero general public licen[cs]e|agpl                  | agpl
+lgpl      | lesser library lgpl | gnu (?:lesser|library) general public licen[cs]e           | lgpl
 lgpl      | lgpl       | lgpl                                                        | lgpl
-gfdl      | documentation | gnu free documentation licen[cs]e                        | gfdl
-gpl       | gnu        | gnu general public licen[cs]e|gnu gpl                       | gpl
+gfdl      | documentation gfdl | gnu free documentation licen[cs]e                        | gfdl
+gpl       | gnu gpl    | gnu general public licen[cs]e|gnu gpl                       | gpl
 gpl       | gpl        | gpl                                                         | gpl
 apache    | apache     | apache(?: software)? licen[cs]e|apache                      | apache
 mit       | mit        | mit licen[cs]e|mit                                          | mit
 x11       | x11        | x11 licen[cs]e|x11                                          | x11
 bsd       | bsd        | (?:[0234] clause |new |modified |simplified |revised )?bsd(?: [0234] clause)?(?: licen[cs]e)? | bsd
 isc       | isc        | isc licen[cs]e|isc                                          | isc
-mpl       | mozilla    | mozilla public licen[cs]e                                   | mpl
+mpl       | mozilla mpl | mozilla public licen[cs]e                                   | mpl
 mpl       | mpl        | mpl                                                         | mpl
-epl       | eclipse    | eclipse public licen[cs]e                                   | epl
-edl       | eclipse    | eclipse distribution licen[cs]e                             | edl
-cddl      | cddl       | common development and distribution licen[cs]e|cddl         | cddl
-cpl       | common     | common public licen[cs]e                                    | cpl
-eupl      | eupl       | european union public licen[cs]e|eupl                       | eupl
+epl       | eclipse epl | eclipse public licen[cs]e                                   | epl
+edl       | eclipse edl | eclipse distribution licen[cs]e                             | edl
+cddl      | development cddl | common development and distribution licen[cs]e|cddl         | cddl
+cpl       | common cpl | common public licen[cs]e                                    | cpl
+eupl      | european eupl | european union public licen[cs]e|eupl                       | eupl
 artistic  | artistic   | (?:clarified )?artistic licen[cs]e                          | artistic
-bsl       | boost      | boost software licen[cs]e                                   | bsl
-busl      | business   | business source licen[cs]e                                  | busl
-sspl      | server     | server side public licen[cs]e                               | sspl
+bsl       | boost bsl  | boost software licen[cs]e                                   | bsl
+busl      | business busl | business source licen[cs]e                                  | busl
+sspl      | server sspl | server side public licen[cs]e                               | sspl
 zlib      | zlib       | zlib(?: libpng)? licen[cs]e|zlib                            | zlib
 libpng    | libpng     | libpng licen[cs]e                                           | libpng
 unlicense | unlicense  | unlicense                                                   | unlicense
 wtfpl     | wtfpl      | wtfpl                                                       | wtfpl
-psf       | python     | python(?: software foundation)? licen[cs]e                  | psf
+psf       | python psf | python(?: software foundation)? licen[cs]e                  | psf
 php       | php        | php licen[cs]e                                              | php
 ruby      | ruby       | ruby licen[cs]e                                             | ruby
 openssl   | openssl    | openssl licen[cs]e                                          | openssl
 postgresql | postgresql | postgresql licen[cs]e                                      | postgresql
-ms-pl     | microsoft  | microsoft public licen[cs]e                                 | ms pl
-ms-rl     | microsoft  | microsoft reciprocal licen[cs]e                             | ms rl
-ofl       | font       | sil open font licen[cs]e|open font licen[cs]e               | ofl
-odbl      | database   | open database licen[cs]e|odbl                               | odbl
-pddl      | dedication | public domain dedication and licen[cs]e|pddl                | pddl
-cc0       | cc0        | cc0|creative commons zero                                   | cc0
+ms-pl     | microsoft ms | microsoft public licen[cs]e                                 | ms pl
+ms-rl     | microsoft ms | microsoft reciprocal licen[cs]e                             | ms rl
+ofl       | font ofl   | sil open font licen[cs]e|open font licen[cs]e               | ofl
+odbl      | database odbl | open database licen[cs]e|odbl                               | odbl
+pddl      | dedication pddl | public domain dedication and licen[cs]e|pddl                | pddl
+cc0       | cc0 creative | cc0|creative commons zero                                   | cc0
 cc-by-nc-sa | cc       | cc by nc sa                                                 | cc by nc sa
 cc-by-nc-nd | cc       | cc by nc nd                                                 | cc by nc nd
 cc-by-nc  | cc         | cc by nc                                                    | cc by nc
 cc-by-sa  | cc         | cc by sa                                                    | cc by sa
 cc-by-nd  | cc         | cc by nd                                                    | cc by nd
 cc-by     | cc         | cc by                                                       | cc by
-cc-by-nc-sa | creative | creative commons attribution non ?commercial share ?alike    | cc by nc sa
-cc-by-nc-nd | creative | creative commons attribution non ?commercial no ?deriv(?:s|atives) | cc by nc nd
-cc-by-nc  | creative   | creative commons attribution non ?commercial                | cc by nc
-cc-by-sa  | creative   | creative commons attribution share ?alike                   | cc by sa
-cc-by-nd  | creative   | creative commons attribution no ?deriv(?:s|atives)          | cc by nd
-cc-by     | creative   | creative commons attribution                                | cc by
+cc-by-nc-sa | creative cc | creative commons attribution non ?commercial share ?alike    | cc by nc sa
+cc-by-nc-nd | creative cc | creative commons attribution non ?commercial no ?deriv(?:s|atives) | cc by nc nd
+cc-by-nc  | creative cc | creative commons attribution non ?commercial                | cc by nc
+cc-by-sa  | creative cc | creative commons attribution share ?alike                   | cc by sa
+cc-by-nd  | creative cc | creative commons attribution no ?deriv(?:s|atives)          | cc by nd
+cc-by     | creative cc | creative commons attribution                                | cc by
 """.strip().splitlines()
 
 VERSION = r"(?: (?:version|ver|v|rev|revision)? ?v?[0-9]+(?: [0-9]+){0,2})?(?: (?:only|or later|or any later version))?"
 TAIL = r"(?: (?:unported|international|generic|licen[cs]e))*"
 
-# Templates in order of priority: name, expression, confidence, keywords besides the name's own.
+# Templates in order of priority: name, expression, confidence, any of these keywords besides the name's own.
 # {n} is the name, {i} the identifier.
 TEMPLATES = (
     ("identifier", r"spdx licen[cs]e identifier {i}" + VERSION, 1.0, ("spdx",)),
     ("link", r"(?:https? )?(?:www )?(?:opensource|gnu|apache|creativecommons|mozilla|eclipse|spdx) org licen[cs]es? (?:{i})" + VERSION, 0.95, ("org",)),
-    ("licensed", r"licen[cs]ed (?:to you )?under (?:the )?(?:terms of (?:the )?)?(?:{n})" + VERSION + TAIL, 0.9, ("licensed",)),
+    ("licensed", r"licen[cs]ed (?:to you )?under (?:the )?(?:terms of (?:the )?)?(?:{n})" + VERSION + TAIL, 0.9, ("licensed", "licenced")),
     ("released", r"(?:released|distributed|published|provided|available|covered|issued|shared) (?:by |freely )?under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?(?:{n})" + VERSION + TAIL, 0.9, ("under",)),
-    ("governed", r"(?:subject to|governed by|see|read|accept) (?:the )?(?:terms of (?:the )?)?(?:{n})" + VERSION + TAIL, 0.7, ("license",)),
+    ("governed", r"(?:subject to|governed by|see|read|accept) (?:the )?(?:terms of (?:the )?)?(?:{n})" + VERSION + TAIL, 0.7, ("subject", "governed", "see", "read", "accept")),
     ("full text", r"(?:{n})" + VERSION + r" (?:terms and conditions|permission is hereby granted|full text)", 0.8, ()),
     ("dual", r"dual licen[cs]ed under (?:the )?(?:{n})" + VERSION, 0.9, ("dual",)),
-    ("named", r"(?:{n})" + VERSION + r" licen[cs]e", 0.6, ("license",)),
+    ("named", r"(?:{n})" + VERSION + r" licen[cs]e", 0.6, ("license", "licence")),
     ("version", r"(?:{n}) (?:version|ver|v) ?v?[0-9]+(?: [0-9]+){0,2}", 0.6, ()),
 )
 BASE_CONFIDENCE = 0.5
@@ -100,7 +102,7 @@ BASE_CONFIDENCE = 0.5
 
 class Rule(NamedTuple):
     label: str
-    keywords: tuple[str, ...]
+    keywords: tuple[tuple[str, ...], ...]
     regex: str
     priority: int
     confidence: float
@@ -111,9 +113,9 @@ def _rules() -> list[Rule]:
     names = [[c.strip() for c in re_split(line)] for line in NAMES]
     return [
         # Whole words only: the text has a space on both sides of each word.
-        Rule(label, (keyword, *more), "(?<= )(?:" + shape.replace("{n}", name).replace("{i}", ident) + ")(?= )", t, sure)
+        Rule(label, (tuple(own.split()), more) if more else (tuple(own.split()),), "(?<= )(?:" + shape.replace("{n}", name).replace("{i}", ident) + ")(?= )", t, sure)
         for t, (_, shape, sure, more) in enumerate(TEMPLATES)
-        for label, keyword, name, ident in names
+        for label, own, name, ident in names
     ]
 
 
@@ -123,7 +125,10 @@ def re_split(line: str) -> list[str]:
 
 
 RULES = _rules()
-KEYWORDS = sorted({k for r in RULES for k in r.keywords} | {w for p, _ in BASE for w in p.split()})
+
+
+def _keywords(rules: list[Rule]) -> list[str]:
+    return sorted({k for r in rules for group in r.keywords for k in group} | {w for p, _ in BASE for w in p.split()})
 
 
 def _spaces(text: Column) -> Column:
@@ -195,11 +200,15 @@ def _resolve(sorted_detections: Column) -> Column:
     return F.aggregate(sorted_detections, begin, step)
 
 
+def _groups(rule: Rule) -> Column:
+    return F.array(*[F.array(*map(F.lit, group)) for group in rule.keywords]).cast("array<array<string>>")
+
+
 def _rule_table(rules: list[Rule]) -> Column:
     return F.array(
         *[
             F.struct(
-                F.array(*map(F.lit, r.keywords)).alias("keywords"), F.lit(r.regex).alias("regex"),
+                _groups(r).alias("keywords"), F.lit(r.regex).alias("regex"),
                 F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.confidence).alias("confidence"),
             )
             for r in rules
@@ -218,18 +227,23 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     frame = frame.withColumn("rough", split_words(F.lower("text"), NOT_LETTERS))
     frame = frame.select(
         "doc_id", "text", F.size("rough").cast("long").alias("n_words"),
-        F.array_intersect("rough", F.array(*map(F.lit, KEYWORDS))).alias("found"),
+        F.array_intersect("rough", F.array(*map(F.lit, _keywords(rules)))).alias("found"),
     )
+    # A rule without keywords is tried on every text.
+    scanned = F.size("found") > 0 if all(r.keywords for r in rules) else F.lit(True)
     frame = frame.select(
         "doc_id", "n_words", "found",
-        F.when(F.size("found") > 0, split_words(lower_ascii(F.col("text")), NOT_LETTERS)).otherwise(none).alias("words"),
+        F.when(scanned, split_words(lower_ascii(F.col("text")), NOT_LETTERS)).otherwise(none).alias("words"),
     )
-    wanted = F.filter(_rule_table(rules), lambda r: F.forall(r["keywords"], lambda k: F.array_contains("found", k)))
+    wanted = F.filter(
+        _rule_table(rules),
+        lambda r: F.forall(r["keywords"], lambda group: F.exists(group, lambda k: F.array_contains("found", k))),
+    )
     frame = frame.select(
         "doc_id", "n_words",
         *[_phrase_starts(F.col("words"), p).alias(f"base_{i}") for i, (p, _) in enumerate(BASE)],
-        F.when(F.size("found") > 0, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))).alias("norm"),
-        F.when(F.size("found") > 0, wanted).alias("rules"),
+        F.when(scanned, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))).alias("norm"),
+        F.when(scanned, wanted).alias("rules"),
     )
     starts = [F.col(f"base_{i}") for i in range(len(BASE))]
     base_labels = [F.when(F.size(s) > 0, F.lit(label)) for s, (_, label) in zip(starts, BASE)]

@@ -295,3 +295,52 @@ def test_license_signatures(spark):
     assert {k: v[0] for k, v in found.items()} == {k: v[0] for k, v in wanted.items()}
     assert all(found[k][1] >= wanted[k][1] - 0.11 for k in wanted)
     assert len(licenses.RULES) > 300
+
+
+LOST = {
+    "SPDX-License-Identifier: AGPL-3.0": "agpl", "SPDX-License-Identifier: EPL-2.0": "epl",
+    "SPDX-License-Identifier: GFDL-1.3": "gfdl", "SPDX-License-Identifier: OFL-1.1": "ofl",
+    "SPDX-License-Identifier: BSL-1.0": "bsl", "SPDX-License-Identifier: SSPL-1.0": "sspl",
+    "licensed under the ODbL": "odbl", "licensed under the PDDL": "pddl",
+    "Licensed under the Common Development and Distribution License": "cddl",
+    "Licensed under the European Union Public Licence": "eupl", "Released under Creative Commons Zero": "cc0",
+    "licenced under the GNU GPL": "gpl", "governed by the GNU GPL": "gpl", "the WTFPL licence": "wtfpl",
+    "under the GNU Library General Public License, version 2": "lgpl", "no words of any rule": "",
+}
+
+
+def example(tree, rng):
+    """Some text that a parsed expression matches."""
+    out = ""
+    for op, arg in tree:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "IN":
+                out += example([rng.choice(arg)], rng)
+            case "RANGE":
+                out += chr(rng.randint(*arg))
+            case "BRANCH":
+                out += example(rng.choice(arg[1]), rng)
+            case "SUBPATTERN":
+                out += example(arg[-1], rng)
+            case "MAX_REPEAT":
+                out += "".join(example(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 2))))
+            case "ASSERT":
+                pass
+            case other:
+                raise ValueError(other)
+    return out
+
+
+def test_license_gate_changes_no_result(spark):
+    import random
+    from re import _parser
+
+    rng, rules = random.Random(3), [r._replace(keywords=()) for r in licenses.RULES]
+    given = [*LOST, *(example(_parser.parse(r.regex), rng) for r in rules for _ in range(4))]
+    docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(8)
+    found = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    assert {t: found[i].labels for i, t in enumerate(LOST)} == LOST
+    assert found == {r.doc_id: r for r in licenses.scan_licenses(docs, rules=rules).collect()}
+    assert all(found[i].labels for i in range(len(LOST), len(given)))
