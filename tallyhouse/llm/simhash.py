@@ -14,7 +14,8 @@ a spanning forest of its links, never the pairs.
 Empty cases: texts without words, null or empty, have fingerprint zero and link like any other.
 Rows with a null ``doc_id`` get a fingerprint and the component of that fingerprint, null if no
 other row names it. Repeated rows are in one component and stay repeated rows; rows with one
-``doc_id`` and different texts are one document, which links their fingerprints.
+``doc_id`` and different texts are one document, which links their fingerprints. ``keep_one`` goes by
+the texts alone: there such rows are copies only if their fingerprints are linked without their id.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyhouse.llm.common import LOWER_TABLE, map_batches, schema_of
 from tallyhouse.llm.components import components
@@ -283,24 +285,32 @@ def links(celled: DataFrame, radius: int = RADIUS) -> DataFrame:
     return map_batches(ordered, run, schema_of("a long, b long"))
 
 
-def _same_document(prints: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links between the fingerprints of one ``doc_id`` that repeats with different texts."""
-    several = (
+def _several(prints: DataFrame) -> DataFrame:
+    """The ``doc_id`` that repeat with different fingerprints."""
+    return (
         prints.where("doc_id IS NOT NULL").groupBy("doc_id")
         .agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
         .where("low <> high").select("doc_id")
     )
-    return prints.join(several, "doc_id").join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+
+
+def _same_document(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between the fingerprints of one ``doc_id`` that repeats with different texts."""
+    return prints.join(_several(prints), "doc_id").join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+
+
+def _near(nodes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the ids of near fingerprints that connect all of them."""
+    n = nodes.count()
+    parts = plan(pair_counts(nodes), n)
+    return links(cells(materialise(signatures(nodes, parts), "signatures")))
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs``."""
     prints = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = materialise(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
-    n = nodes.count()
-    parts = plan(pair_counts(nodes), n)
-    filed = materialise(signatures(nodes, parts), "signatures")
-    found = components(links(cells(filed)).unionByName(_same_document(prints, nodes)))
+    found = components(_near(nodes).unionByName(_same_document(prints, nodes)))
     labels = nodes.join(found, nodes["id"] == found["node"], "left").select(
         "fp", F.coalesce("component", "id").alias("component_id")
     )
@@ -309,12 +319,35 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
+def _with_fingerprint(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``docs`` with the fingerprint of each row's text as a further column."""
+
+    def run(batches):
+        for b in batches:
+            own = [_signed(fingerprint(t)) for t in b.column(text_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own, type=pa.int64())], names=[*b.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id, once.
+    """``docs`` with one row of each group of near texts, the one with the smallest id and fingerprint.
 
     Rows with a null id cannot be told apart and all stay.
     """
-    groups = assign(docs, id_col, text_col)
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.join(stay, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    prints = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
+    # A fingerprint is its own node: by doc_id, different texts of one id would be one.
+    nodes = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    nodes = materialise(nodes.withColumn("id", F.col("fp")), "nodes")
+    found = components(_near(nodes))
+    labels = nodes.join(found, nodes["id"] == found["node"], "left")
+    first = labels.groupBy(F.coalesce("component", "id")).agg(F.min(F.struct("doc_id", "fp")).alias("first"))
+    first = materialise(first.select(F.col("first.doc_id").alias(id_col), F.col("first.fp").alias("_fp")), "first")
+    # Only where an id has different fingerprints do the rows need theirs to be told apart.
+    several = materialise(_several(prints).withColumnRenamed("doc_id", id_col), "several")
+    exact = materialise(first.join(several, id_col, "left_semi"), "exact")
+    named = docs.join(first.join(several, id_col, "left_anti"), id_col, "left_semi").dropDuplicates([id_col])
+    texts = _with_fingerprint(docs.join(exact, id_col, "left_semi"), text_col, "_fp")
+    told = texts.join(exact, [id_col, "_fp"], "left_semi").dropDuplicates([id_col, "_fp"])
+    kept = named.select(*docs.columns).unionByName(told.select(*docs.columns))
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))

@@ -215,6 +215,17 @@ def test_simhash_keeps_one(docs):
     assert left.columns == docs.columns
 
 
+def test_simhash_keeps_different_texts_of_an_id(spark):
+    say = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    given = [
+        (3, say("a")), (7, say("a")), (7, say("b")), (7, say("b")), (7, say("c")), (8, say("c")), (9, say("d")), (9, None),
+        (10, say("d")),
+    ]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    wanted = [(3, say("a")), (7, say("b")), (7, say("c")), (9, say("d")), (9, None)]
+    assert rows(simhash.keep_one(docs)) == Counter(wanted)
+
+
 @pytest.mark.parametrize(("hot", "small"), [(100_000, 12), (100_000, 1), (3, 12)])
 def test_suffix(docs, hot, small, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SMALL_GROUP", small)
