@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import decontaminate, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter, word_windows
+from tallyhouse.llm import alignment, decontaminate, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter, word_windows
 from tallyhouse.session import new_folder
 
 
@@ -69,6 +69,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_quality_rules,
@@ -81,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_word_windows,
         op9_toxicity,
         op10_license_scan,
+        op12_token_alignment,
     )
     return {q.__name__: q for q in named}
 

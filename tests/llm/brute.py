@@ -157,3 +157,37 @@ def crc_ids(ids):
     import struct
 
     return zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
+def alignment(docs, a_encode, a_bytes, b_encode, b_bytes):
+    """Per document ``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, sha)``; all links are listed."""
+    linked, heads = [], []
+    for doc_id, text in docs:
+        whole = (" " + (text or "")).encode()
+        a, b = (a_encode(" " + text), b_encode(text)) if text else ([], [])
+        if b"".join(map(a_bytes, a)) != whole or b"".join(map(b_bytes, b)) != whole:
+            a, b = [], []
+        groups, x, y = [], [], []
+        left = right = b""
+        b_rest = list(b)
+        for i in a:
+            x.append(i)
+            left += a_bytes(i)
+            while b_rest and len(right) < len(left):
+                y.append(b_rest.pop(0))
+                right += b_bytes(y[-1])
+            if len(left) == len(right):
+                groups.append((x, y))
+                x, y = [], []
+        links = [(i, j) for x, y in groups for i in x for j in y]
+        shown = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+        linked.append(links)
+        heads.append((doc_id, len(a), len(b), len(groups), len(links), sha(shown.encode()) if groups else ""))
+    counts = Counter(pair for links in linked for pair in set(links))
+    most = defaultdict(int)
+    for (i, _), n in counts.items():
+        most[i] = max(most[i], n)
+    return [
+        (*h[:5], sum(counts[p] == most[p[0]] for p in links), sum(counts[p] for p in links), h[5])
+        for h, links in zip(heads, linked)
+    ]
