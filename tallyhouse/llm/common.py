@@ -62,6 +62,7 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
         T.BooleanType(): pa.bool_(), T.DoubleType(): pa.float64(), T.BinaryType(): pa.binary(),
         T.ArrayType(T.LongType()): pa.list_(pa.int64()), T.ArrayType(T.IntegerType()): pa.list_(pa.int32()),
         T.ArrayType(T.StringType()): pa.list_(pa.string()), T.ArrayType(T.DoubleType()): pa.list_(pa.float64()),
+        T.ArrayType(T.BinaryType()): pa.list_(pa.binary()),
     }
     return pa.schema([pa.field(f.name, kinds[f.dataType]) for f in schema])
 
@@ -70,6 +71,7 @@ _TYPES = {
     "long": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "boolean": T.BooleanType(),
     "double": T.DoubleType(), "binary": T.BinaryType(), "longs": T.ArrayType(T.LongType()),
     "ints": T.ArrayType(T.IntegerType()), "strings": T.ArrayType(T.StringType()), "doubles": T.ArrayType(T.DoubleType()),
+    "binaries": T.ArrayType(T.BinaryType()),
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import alignment, decontaminate, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter, word_windows
+from tallyhouse.llm import alignment, decontaminate, hard_negatives, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter, vector_search, word_windows
 from tallyhouse.session import new_folder
 
 
@@ -69,6 +69,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(
         _table(spark, sf_dir, "documents"),
@@ -78,6 +82,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_quality_rules,
@@ -90,7 +98,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_word_windows,
         op9_toxicity,
         op10_license_scan,
+        op11_vector_search,
         op12_token_alignment,
+        op13_hard_negatives,
     )
     return {q.__name__: q for q in named}
 
@@ -101,4 +111,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontamination": decontaminate.SQL,
         "op5_url_filter": url_filter.SQL,
         "op8_word_windows": word_windows.SQL,
+        "op13_hard_negatives": hard_negatives.SQL,
     }
