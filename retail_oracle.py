@@ -364,6 +364,23 @@ def _check(cte: str, name: str, measures: str, critical: str, threshold: str) ->
 FRESH = """SELECT last_loaded, floor(epoch(TIMESTAMP '2024-02-01 00:00:00' - last_loaded))
   / 3600.0::DOUBLE AS hours FROM (SELECT max(ts) AS last_loaded FROM events)"""
 
+def _measures(cte: str, name: str, *columns: str) -> str:
+    told = " || ', ' || ".join(f"'{c}=' || CAST({c} AS VARCHAR)" for c in sorted(columns))
+    return f"SELECT '{name}' AS check_name, {told} AS results FROM {cte}"
+
+
+MEASURES = " UNION ALL ".join(
+    [
+        _measures("c1", "null_critical_fields", "total_rows", "null_customer_id", "null_stock_code", "null_invoice_date"),
+        _measures("c2", "duplicate_records", "total_records", "unique_combinations"),
+        _measures("c3", "data_range_validation", "total_rows", "invalid_price", "suspicious_quantity", "zero_quantity"),
+        _measures("c4", "referential_integrity", "orphaned_products", "orphaned_customers", "orphaned_times"),
+        _measures("c5", "business_logic", "total_sales", "calculation_errors", "avg_transaction_value", "negative_non_returns"),
+        _measures("c6", "data_freshness", "last_loaded", "hours_since_last_load"),
+        _measures("c7", "row_count_validation", "raw_count", "fact_count", "customer_count", "product_count"),
+    ]
+)
+
 BODIES = {
     # scans, sources, sinks, contracts
     "scan_raw": f"SELECT {LANDED}, {LINE} FROM raw",
@@ -382,6 +399,22 @@ BODIES = {
     "retention_rows": """SELECT invoice_date IS NULL AS no_stamp, stock_code, count(*) AS row_count,
   sum(quantity)::BIGINT AS quantity FROM raw
 WHERE NOT coalesce(invoice_date < TIMESTAMP '2002-01-01' - INTERVAL 365 DAY, false) GROUP BY 1, 2""",
+    "fact_month_refresh": """SELECT year, month, count(*) AS row_count, count(*) AS distinct_ids,
+  sum(quantity)::BIGINT AS quantity FROM fact JOIN dim_time USING (time_key)
+WHERE year <> 1998 OR product_key % 2 = 0 GROUP BY year, month""",
+    "load_quarantine": """SELECT CASE WHEN own = '' AND n > 1 THEN 'invoice_no, product_key, time_key repeats'
+         ELSE own END AS reasons, count(*) AS row_count, sum(quantity)::BIGINT AS quantity
+FROM (SELECT *, row_number() OVER (PARTITION BY own = '', invoice_no, product, time_key) AS n FROM (
+  SELECT *, concat_ws('; ', CASE WHEN product_key % 97 = 0 THEN 'unit_price is null' END,
+                      CASE WHEN length(invoice_no) > 20 THEN 'invoice_no is longer than 20' END,
+                      CASE WHEN product_key % 83 = 0 THEN 'product_key is not in dim_product' END) AS own
+  FROM (SELECT CASE WHEN customer_key % 89 = 0 THEN 'invoice with number ' || invoice_no
+                    ELSE invoice_no END AS invoice_no,
+               product_key, CASE WHEN product_key % 83 = 0 THEN product_key + 1000000 ELSE product_key END AS product,
+               time_key, quantity
+        FROM fact, (SELECT unnest([1, 2]) AS turn)
+        WHERE turn = 1 OR (CASE WHEN product_key % 83 = 0 THEN product_key + 1000000 ELSE product_key END) % 50 = 0)))
+GROUP BY 1""",
     "staging_retention": """SELECT count(*) FILTER (expired) AS rows_deleted,
   count(*) FILTER (NOT expired) AS rows_kept
 FROM (SELECT coalesce(invoice_date < TIMESTAMP '2002-01-01' - INTERVAL 365 DAY, false) AS expired
@@ -577,7 +610,8 @@ FROM cleaning, summary, gate,
         "true",
         "0.95",
     ),
-    "checks_report": "SELECT category, check_name, description, passed, critical, threshold FROM checks",
+    "checks_report": f"""SELECT category, check_name, description, results, passed, critical, threshold,
+  CAST(NULL AS VARCHAR) AS error FROM checks JOIN ({MEASURES}) USING (check_name)""",
     "checks_summary": "SELECT * FROM check_totals",
     "quality_dashboard": f"""SELECT {pct("passed_checks", "total_checks", 1)} AS quality_score, *
   FROM check_totals, metrics""",

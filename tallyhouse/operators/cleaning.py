@@ -7,7 +7,7 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.functions.frames import side_by_side
 from tallyhouse.functions.retail import bad_price, high_quantity, line_amount, returned
@@ -43,23 +43,26 @@ def add_line_amount(df: DataFrame) -> DataFrame:
     return df.withColumn("TotalAmount", line_amount(F.col("Quantity"), F.col("UnitPrice")))
 
 
-def dedup_source(df: DataFrame, position: Sequence[str] = ()) -> DataFrame:
+def dedup_source(df: DataFrame, position: Sequence[str] = (), copies: str | None = None) -> DataFrame:
     """First line per invoice, stock code and time; ``position`` gives the source order."""
-    return keep_first(df, SOURCE_KEYS, position)
+    return keep_first(df, SOURCE_KEYS, position, copies)
 
 
 def clean(
-    raw: DataFrame, position: Sequence[str] = (), processed_at: datetime | None = None
-) -> DataFrame:
+    raw: DataFrame, position: Sequence[str] = (), processed_at: datetime | None = None,
+    copies: str | None = None,
+) -> DataFrame:
     """Canonical raw rows to flagged, de-duplicated rows with their amounts.
 
+    ``copies`` names a further column with the number of complete rows that a row stands for.
+
     The flags and the amount follow from the surviving row alone, so they are
     added after de-duplication and do not travel through its shuffle.
     """
     cleaned = (
         require_columns(raw)
         .transform(drop_critical_nulls)
-        .transform(dedup_source, position)
+        .transform(dedup_source, position, copies)
         .transform(flag_price)
         .transform(flag_quantity)
         .transform(flag_returns)
@@ -70,6 +73,18 @@ def clean(
     return cleaned.withColumn("processed_at", ntz(processed_at))
 
 
+def cleaning_counts() -> list[Column]:
+    """What cleaning counts on the raw rows: aggregates that also work as observed metrics."""
+    complete, invoice, quantity = _complete(), F.col("InvoiceNo"), F.col("Quantity")
+    return [
+        F.count("*").alias("initial_rows"),
+        F.count_if(complete).alias("kept_rows"),
+        F.count_if(complete & bad_price(F.col("UnitPrice"))).alias("invalid_price_count"),
+        F.count_if(complete & high_quantity(quantity)).alias("high_quantity_count"),
+        F.count_if(complete & returned(invoice, quantity)).alias("return_count"),
+    ]
+
+
 def cleaning_stats(raw: DataFrame, final_rows: int | None = None) -> DataFrame:
     """One row of counts. The flags are counted before duplicates go, as cleaning defines them.
 
@@ -77,21 +92,23 @@ def cleaning_stats(raw: DataFrame, final_rows: int | None = None) -> DataFrame:
     for which only the key columns are read and shuffled; a caller that has just
     loaded the staging table knows their number and passes it.
     """
-    complete = _complete()
-    invoice, quantity = F.col("InvoiceNo"), F.col("Quantity")
-    totals = require_columns(raw).agg(
-        F.count("*").alias("initial_rows"),
-        F.count_if(complete).alias("kept_rows"),
-        F.count_if(complete & bad_price(F.col("UnitPrice"))).alias("invalid_price_count"),
-        F.count_if(complete & high_quantity(quantity)).alias("high_quantity_count"),
-        F.count_if(complete & returned(invoice, quantity)).alias("return_count"),
-    )
+    totals = require_columns(raw).agg(*cleaning_counts())
     if final_rows is not None:
         totals = totals.withColumn("final_rows", F.lit(final_rows).cast("long"))
     else:
         kept = drop_critical_nulls(raw)
         unique = kept.agg(distinct_keys(kept, SOURCE_KEYS).alias("final_rows"))
         totals = side_by_side(totals, unique)
+    return _stats(totals)
+
+
+def observed_stats(spark: SparkSession, counts: dict[str, int], final_rows: int) -> DataFrame:
+    """The same row from counts that were observed while the rows were loaded."""
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in (*counts, "final_rows")])
+    return _stats(spark.createDataFrame([(*counts.values(), final_rows)], schema))
+
+
+def _stats(totals: DataFrame) -> DataFrame:
     dropped = F.col("initial_rows") - F.col("final_rows")
     return totals.select(
         (F.col("initial_rows") - F.col("kept_rows")).alias("null_drops"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.frames import stack
-from tallyhouse.schemas import CONTRACTS, DIMENSION_KEYS
+from tallyhouse.schemas import CONTRACTS, DIMENSION_KEYS, Contract
 
 ORPHAN_NAMES = {
     "dim_product": "orphaned_products",
@@ -144,3 +144,34 @@ def reference_violations(tables: dict[str, DataFrame], contracts=CONTRACTS) -> D
                 )
             )
     return stack(parts)
+
+
+def with_refusals(
+    rows: DataFrame, contract: Contract, dimensions: dict[str, DataFrame] | None = None,
+    order_by: str | None = None, name: str = "reasons",
+) -> DataFrame:
+    """``rows`` with the reasons, as an array of texts, why a table under ``contract`` refuses them.
+
+    Nulls and widths are read off the row itself. With ``dimensions``, a reference that is not null and
+    points nowhere is a reason; null references are allowed. With ``order_by``, a unique column of ``rows``,
+    the first acceptable row of a key stays and later ones are refused; keys that contain a null never repeat.
+    """
+    reasons = [F.when(F.col(c).isNull(), f"{c} is null") for c in contract.not_null if c in rows.columns]
+    reasons += [F.when(F.length(c) > n, f"{c} is longer than {n}") for c, n in contract.widths.items() if c in rows.columns]
+    for column, target in contract.references.items() if dimensions else ():
+        key = dimensions[target].select(F.col(DIMENSION_KEYS[target]).alias(column), F.lit(True).alias(f"_{column}")).distinct()
+        rows = rows.join(key, column, "left")
+        reasons.append(F.when(F.col(column).isNotNull() & F.col(f"_{column}").isNull(), f"{column} is not in {target}"))
+    found = F.filter(F.array(*reasons), lambda r: r.isNotNull()) if reasons else F.array().cast("array<string>")
+    judged = rows.withColumn(name, found).drop(*[f"_{c}" for c in contract.references])
+    if order_by is None or not contract.unique:
+        return judged
+    keys = list(contract.unique)
+    # One row per key and task is shuffled to find the first ones; the join meets keys that repeat only.
+    first = judged.where(F.size(name) == 0).dropna(subset=keys).groupBy(*keys).agg(
+        F.min(order_by).alias("_first"), F.count("*").alias("_n")
+    )
+    repeated = first.where("_n > 1").drop("_n")
+    later = (F.size(name) == 0) & (F.col(order_by) > F.col("_first"))
+    told = F.when(later, F.array(F.lit(f"{', '.join(keys)} repeats"))).otherwise(F.col(name))
+    return judged.join(repeated, keys, "left").withColumn(name, told).drop("_first")

@@ -211,24 +211,51 @@ def product_quality(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def overall_summary(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """One row over the whole fact. Each distinct count reads its own column once."""
-    totals = fact.agg(
-        F.count("*").alias("total_records"),
-        _or_zero(F.sum(sold())).cast("double").alias("total_sales"),
-        _or_zero(F.sum(sent_back())).cast("double").alias("total_returns"),
-        F.coalesce(percent(F.count_if("is_return"), F.count("*")), F.lit(0.0)).alias(
-            "overall_return_rate"
-        ),
+    """One row over the whole fact, which is read once.
+
+    Surrogate keys are dense, so distinct ones are counted by bitmaps: a fact row gives one entry for its day,
+    which also carries the amounts, and one each for its customer and its product, and tasks merge the bits of
+    each stretch of keys before they are shuffled. What is left is one row per day and per stretch.
+    """
+    is_day = F.col("kind") == "day"
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(kind).alias("kind"),
+                # A day is a group of its own; other keys share the bitmap of their stretch.
+                (F.col(key) if kind == "day" else F.bitmap_bucket_number(key)).alias("part"),
+                F.bitmap_bit_position(key).alias("bit"),
+            )
+            for kind, key in (("day", "time_key"), ("customer", "customer_key"), ("product", "product_key"))
+        ]
     )
-    members = [
-        fact.agg(F.count_distinct(key).alias(name))
-        for key, name in (
-            ("customer_key", "unique_customers"),
-            ("product_key", "unique_products"),
-            ("time_key", "unique_dates"),
+    merged = (
+        fact.select(F.inline(entries), sold().alias("sold"), sent_back().alias("sent_back"), "is_return")
+        .groupBy("kind", "part")
+        .agg(
+            F.bitmap_construct_agg("bit").alias("bits"),
+            F.count_if(is_day).alias("rows"),
+            F.count_if(is_day & F.col("is_return")).alias("returned"),
+            F.sum(F.when(is_day, F.col("sold"))).alias("sold"),
+            F.sum(F.when(is_day, F.col("sent_back"))).alias("sent_back"),
         )
-    ]
-    return side_by_side(data_date_range(fact, dim_time), totals, *members)
+    )
+    days = dim_time.select(F.lit("day").alias("kind"), F.col("time_key").alias("part"), "date_value")
+    members = lambda kind: _or_zero(
+        F.sum(F.when(F.col("kind") == kind, F.bitmap_count("bits")))
+    )
+    return merged.join(days, ["kind", "part"], "left").agg(
+        F.min("date_value").alias("min_date"),
+        F.max("date_value").alias("max_date"),
+        F.count_distinct("date_value").alias("total_days"),
+        _or_zero(F.sum("rows")).alias("total_records"),
+        _or_zero(F.sum("sold")).cast("double").alias("total_sales"),
+        _or_zero(F.sum("sent_back")).cast("double").alias("total_returns"),
+        F.coalesce(percent(F.sum("returned"), F.sum("rows")), F.lit(0.0)).alias("overall_return_rate"),
+        members("customer").alias("unique_customers"),
+        members("product").alias("unique_products"),
+        F.count_if(is_day & F.col("part").isNotNull()).alias("unique_dates"),
+    )
 
 
 def anomaly_details(sales: DataFrame, returns: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -10,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallyhouse.functions.stamps import file_stamp, ntz
-from tallyhouse.operators.cleaning import clean, cleaning_stats, extraction_summary
+from tallyhouse.operators.cleaning import extraction_summary
 from tallyhouse.operators.integrity import orphan_counts
 from tallyhouse.operators.reporting import (
     business_rules,
@@ -36,11 +37,23 @@ from tallyhouse.plans.report import report_sheets, run_summary
 from tallyhouse.plans.warehouse import Star, build_star, build_stats
 from tallyhouse.session import materialise
 from tallyhouse.sources.landing import canonical_columns, require_columns, scan_raw
-from tallyhouse.sources.tables import Retained, apply_retention, load_staging, write_report
+from tallyhouse.sources.tables import Retained, apply_retention, load_observed, write_report
 
 log = logging.getLogger(__name__)
 
 
+class Watch:
+    """Seconds that each stage of a run took, up to its mark."""
+
+    def __init__(self) -> None:
+        self.seconds: dict[str, float] = {}
+        self._since = time.monotonic()
+
+    def mark(self, stage: str) -> None:
+        now = time.monotonic()
+        self.seconds[stage], self._since = now - self._since, now
+
+
 class GateFailed(RuntimeError):
     """The load gate did not pass; nothing after it was written."""
 
@@ -90,12 +103,17 @@ def run(
     """
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     raw = require_columns(canonical_columns(scan_raw(spark, in_path, fmt, extra)))
+    watch = Watch()
 
-    staging = load_staging(clean(raw, position), f"{out_dir}/raw_retail_data", as_of)
+    staging, cleaned = load_observed(raw, f"{out_dir}/raw_retail_data", as_of, position)
     log.info("Staged %d rows", staging.rows_loaded)
+    if refused := staging.refused.count():
+        log.warning("Staging refused %d rows; they are kept beside the table", refused)
     if not staging.rows_loaded:
         log.warning("No landed row was left after cleaning")
+    watch.mark("staging")
     star = build_star(staging.frame, out_dir, as_of)
+    watch.mark("star")
 
     issues = materialise(business_rules(star.fact, star.time, as_of.date()), "business-rules")
     orphaned = materialise(orphan_counts(star.fact, star.dimensions), "orphans")
@@ -104,9 +122,11 @@ def run(
     for name, rows in warnings.collect():  # at most six rows
         log.warning("%s: %d rows", name, rows)
     enforce_gate(gate)
+    watch.mark("gate")
 
     tables = {"raw": staging.frame, "fact": star.fact, **star.dimensions}
     checked = materialise(checks_report_isolated(spark, tables, default_checks(as_of)), "checks")
+    watch.mark("checks")
     daily = materialise(daily_profile(star.fact, star.time), "daily-profile")
     stamp = file_stamp(as_of)
     sheets = write_report(
@@ -115,13 +135,15 @@ def run(
         stamp,
         report_fmt,
     )
+    watch.mark("report")
     results = {
         "Run_Summary": run_summary(
-            cleaning_stats(raw, staging.rows_loaded),
+            cleaned,
             data_summary(star),
             gate,
             top_countries(star.fact, star.country, 1),
             quality_score(checks_summary(checked)),
+            seconds=watch.seconds,
         ),
         "Quality_Dashboard": quality_dashboard(
             checked, quality_metrics(staging.frame, star, stamps=True)

@@ -92,8 +92,12 @@ def run_summary(
     best_country: DataFrame,
     scored: DataFrame,
     dimension_tables: int = 4,
+    seconds: dict[str, float] | None = None,
 ) -> DataFrame:
-    """One row for the end of a run, from one-row results and the first top country."""
+    """One row for the end of a run, from one-row results and the first top country.
+
+    ``seconds`` are the times of the run's stages; their sum is its ``processing_time``.
+    """
     extraction = cleaning.select(
         F.col("final_rows").alias("rows_processed"),
         F.col("rows_dropped").alias("rows_rejected"),
@@ -110,7 +114,7 @@ def run_summary(
         "unique_products",
         "unique_countries",
     )
-    return side_by_side(
+    summary_row = side_by_side(
         extraction,
         warehouse,
         gate.select("overall_status"),
@@ -120,3 +124,7 @@ def run_summary(
             F.col("revenue").alias("best_country_revenue"),
         ),
     )
+    if seconds is None:
+        return summary_row
+    times = {"processing_time": sum(seconds.values())} | {f"{k}_seconds": v for k, v in seconds.items()}
+    return summary_row.withColumns({name: F.lit(round(float(v), 3)) for name, v in times.items()})

@@ -150,6 +150,27 @@ def test_a_check_that_breaks_while_running_fails_alone(spark, catalogue, tables)
     assert not rows["breaks"]["passed"] and "no such luck" in rows["breaks"]["error"]
 
 
+def test_sound_tables_take_one_plan_and_a_broken_check_costs_itself(spark, tables, catalogue, monkeypatch):
+    plans, real = [], checks.checks_report
+
+    def counted(spark, tables, found):
+        plans.append(len(found))
+        return real(spark, tables, found)
+
+    monkeypatch.setattr(checks, "checks_report", counted)
+    names = lambda report: [(r["check_name"], r["passed"]) for r in report.collect()]
+    sound = names(checks.checks_report_isolated(spark, tables(), list(catalogue.values())))
+    assert plans == [7] and len(sound) == 7
+    bad = checks.Check(
+        "raw_data_checks", "breaks", "breaks", 0.0, False, lambda m, limit: m("x") > 0, "raw",
+        {"x": F.max(F.raise_error(F.lit("no such luck")).cast("int"))},
+    )
+    plans.clear()
+    found = checks.checks_report_isolated(spark, tables(), [*catalogue.values(), bad])
+    assert names(found) == [*sound, ("breaks", False)] and len(plans) <= 7
+    assert "no such luck" in found.where("check_name = 'breaks'").first()["error"]
+
+
 def test_unknown_check_fails(spark, tables):
     seven = checks.default_checks(AS_OF)
     row = frames.one(checks.run_named(spark, "no_such_check", tables(), seven))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import __main__ as command
 from tallyhouse.plans import pipeline
+from tallyhouse.sources import tables
 
 AS_OF = datetime(2010, 4, 2)
 
@@ -28,7 +29,11 @@ def land(spark, folder, country="UK", fmt="parquet"):
     writer.option("header", True).format(fmt).save(str(folder))
 
 
-def test_full_run(spark, tmp_path):
+def test_full_run(spark, tmp_path, monkeypatch):
+    def again(*args):
+        raise AssertionError("the landing is read a second time")
+
+    monkeypatch.setattr(tables, "cleaning_stats", again)
     land(spark, tmp_path / "in")
     done = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), AS_OF)
     assert frames.one(done.gate)["overall_status"] == "PASS"
@@ -36,6 +41,8 @@ def test_full_run(spark, tmp_path):
     summary = frames.one(done.results["Run_Summary"])
     assert summary["rows_processed"] == 81 and summary["rows_rejected"] == 14
     assert summary["drop_rate"] == 14.74 and summary["best_country"] == "UK"
+    stages = ["staging_seconds", "star_seconds", "gate_seconds", "checks_seconds", "report_seconds"]
+    assert summary["processing_time"] == pytest.approx(sum(summary[s] for s in stages), abs=0.01) and summary["processing_time"] > 0
     assert summary["fact_rows"] == done.star.fact.count() == 81
     assert summary["dimension_tables"] == 4
     dashboard = frames.one(done.results["Quality_Dashboard"])

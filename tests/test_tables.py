@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse import session
 from tallyhouse.functions.stamps import file_stamp, hours_between, ntz, utc8
+from tallyhouse.operators.cleaning import cleaning_stats
 from tallyhouse.sources import landing, tables
+from tallyhouse.sources.versions import VersionedTable
 
 DAY = frames.DAY
 ROWS = [
@@ -99,9 +101,12 @@ def test_retention(spark, tmp_path):
         "rows_kept": 4,
     }
     path = str(tmp_path / "staging")
-    staged.write.parquet(path)
+    table = tables.stage_rows(staged, path)
+    before = set(tables.accepted(table).inputFiles())
     kept = tables.apply_retention(spark, path, AS_OF)
-    assert spark.read.parquet(path).count() == 4
+    assert tables.accepted(table).count() == 4
+    # Only the day that the limit falls into can be written again; here it loses no row.
+    assert set(kept.frame.inputFiles()) < before
     assert {r["invoice"] for r in kept.frame.collect()} == {"0", "6", "7", "none"}
     assert kept.rows_deleted == 2
     untouched = tables.apply_retention(spark, path, AS_OF, 30)
@@ -206,3 +211,89 @@ def test_parts_of_ids_and_missing_columns_fail(spark, tmp_path):
         frames.landed(spark, ROWS).drop("Customer ID").write.option("header", True).format(fmt).save(path)
         with pytest.raises(ValueError, match="Customer ID"):
             landing.scan_raw(spark, path, fmt)
+
+
+def test_retention_rewrites_only_the_period_of_the_limit(spark, tmp_path):
+    path, limit = str(tmp_path / "staging"), datetime(2010, 2, 10, 12)
+    stamps = [datetime(2009, 12, 5), datetime(2010, 1, 31, 23), limit - timedelta(hours=1), limit, datetime(2010, 2, 28), datetime(2010, 3, 1)]
+    staged = spark.createDataFrame([(str(i), s) for i, s in enumerate(stamps)], "invoice string, created_at timestamp_ntz")
+    staged = staged.withColumn("invoice", F.when(F.col("invoice") == "5", F.repeat(F.lit("9"), F.lit(21))).otherwise(F.col("invoice")))
+    for unit, same in (("month", 0), ("day", 1)):
+        table = tables.stage_rows(staged, f"{path}-{unit}", unit)
+        assert tables.quarantine(table).count() == 1
+        old = tables.accepted(table)
+        files = set(old.inputFiles())
+        kept = tables.apply_retention(spark, f"{path}-{unit}", limit + timedelta(days=7))
+        assert kept.rows_deleted == 3 and {r["invoice"] for r in kept.frame.collect()} == {"3", "4"}
+        assert len(files & set(kept.frame.inputFiles())) == same
+        assert old.count() == 5  # a reader that had begun
+
+
+def test_a_broken_load_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    dim = spark.createDataFrame([(1, "UK"), (2, "FR")], "country_key long, country_name string")
+    tables.load_dimension(dim, "dim_country", path)
+    broken = spark.range(100, numPartitions=4).select(
+        F.col("id").alias("country_key"),
+        F.when(F.col("id") == 99, F.raise_error(F.lit("no such luck"))).otherwise(F.col("id").cast("string")).alias("country_name"),
+    )
+    with pytest.raises(Exception, match="no such luck"):
+        tables.load_dimension(broken, "dim_country", path)
+    assert tables.accepted(VersionedTable(spark, path)).count() == 2
+    again = tables.load_dimension(dim.limit(1), "dim_country", path)
+    assert again.frame.count() == 1
+
+
+def test_versions(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.version() is None
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    rows = lambda *pairs: spark.createDataFrame(list(pairs), "a int, part string")
+    table.replace(rows((1, "x"), (2, "y"), (3, None)), ("part",))
+    first, files = table.read(), set(table.read().inputFiles())
+    assert table.replace_parts(rows((9, "y")), ("part",)).number == 2
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, rows((1, "x"), (9, "y"), (3, None)).collect()))
+    assert len(files & set(table.read().inputFiles())) == 2
+    assert first.count() == 3 and table.read(1).where("a = 2").count() == 1
+    table.append(rows((4, "z")), ("part",))
+    assert table.read().count() == 4
+    assert table.expire(keep=1) == 1 and table.numbers() == [3] and table.read().count() == 4
+    table.replace(rows().limit(0), ("part",))
+    assert table.read().count() == 0 and table.read().columns == ["a", "part"]
+    # A number that another writer took is not taken twice.
+    stale = VersionedTable(spark, str(tmp_path / "t"))
+    stale.numbers = lambda: [3]
+    with pytest.raises(RuntimeError, match="another writer"):
+        stale.commit(rows().schema, [])
+
+
+def test_months_are_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    day = lambda m, n: frames.fact(spark, [(str(n), n, 1, m, 1, 1, 1.0, 1.0, False)]).select(
+        "*", F.lit(2010).alias("year"), F.lit(m).alias("month")
+    )
+    bad = day(2, 7).withColumn("invoice_no", F.lit(None).cast("string"))
+    before = tables.load_fact(day(1, 1).unionByName(day(2, 2)).unionByName(bad), path)
+    assert (before.rows_loaded, before.refused.count()) == (2, 1)
+    assert before.refused.first()["reasons"] == ["invoice_no is null"]
+    after = tables.load_fact(day(2, 5), path, "months")
+    assert sorted((r.month, r.invoice_no) for r in after.frame.collect()) == [(1, "1"), (2, "5")]
+    assert after.refused.count() == 0 and after.frame.select("sale_id").distinct().count() == 2
+    assert len(set(before.frame.inputFiles()) & set(after.frame.inputFiles())) == 1
+
+
+def test_observed_counts_equal_counted_ones(spark, tmp_path, monkeypatch):
+    raw = frames.raw(spark, [*ROWS, *ROWS[:1], ("9" * 21, "A", "x", 5, DAY, 0, 3, "UK")]).repartition(3)
+    loaded, stats = tables.load_observed(raw, str(tmp_path / "a"), AS_OF)
+    expected = frames.one(cleaning_stats(raw, loaded.rows_loaded))
+    assert frames.one(stats) == expected and expected["initial_rows"] == 5
+    assert (loaded.rows_loaded, loaded.refused.count()) == (1, 1)
+    # Metrics that a repeated stage has counted twice are not believed.
+    real = tables.cleaning_counts
+    monkeypatch.setattr(tables, "cleaning_counts", lambda: [(c * 2).alias(n) for c, n in zip(real(), expected_names)])
+    _, again = tables.load_observed(raw, str(tmp_path / "b"), AS_OF)
+    assert frames.one(again) == expected
+
+
+expected_names = ("initial_rows", "kept_rows", "invalid_price_count", "high_quantity_count", "return_count")
