@@ -4,7 +4,7 @@ A node covers a contiguous range of the points and knows its centre (one of them
 (the distance of its farthest point, measured, not the level's bound), its children and the least and
 greatest label below it. Children's centres lie further apart than the next level's reach, and each
 child covers what lies within it; the node's own centre is the centre of its first child. A node that
-the next level would scatter into little more than single points is a leaf.
+the next level would scatter into children of few points each is a leaf.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ import numpy as np
 
 # The reach of a level over that of the next one.
 BASE = 1.3
-# Nodes of up to this many points are leaves.
-LEAF = 24
+# Nodes of up to this many points are leaves, and those whose children would hold fewer than the second number on average.
+LEAF, SPLIT = 128, 32
 
 NODES = np.dtype(
     [("centre", "i4"), ("first", "i4"), ("last", "i4"), ("child", "i4"), ("end", "i4"), ("radius", "f8"),
@@ -59,7 +59,7 @@ def _node(order, first, last, centre, points, labels) -> dict:
 
 
 def _net(points: np.ndarray, centre: int, reach: float) -> tuple[np.ndarray, np.ndarray] | None:
-    """Child of each point and the children's centres; none if they are more than half as many as the points."""
+    """Child of each point and the children's centres; none if they hold fewer than ``SPLIT`` points on average."""
     child_of, centres = np.full(len(points), -1), []
     open_, next_ = np.arange(len(points)), centre
     while len(open_):
@@ -68,7 +68,7 @@ def _net(points: np.ndarray, centre: int, reach: float) -> tuple[np.ndarray, np.
         child_of[open_[near]] = len(centres)
         centres.append(next_)
         open_ = open_[~near]
-        if 2 * len(centres) > len(points):
+        if SPLIT * len(centres) > len(points):
             return None
         next_ = open_[0] if len(open_) else 0
     return child_of, np.array(centres)

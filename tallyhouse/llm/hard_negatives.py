@@ -114,7 +114,9 @@ class Positives:
 
     def add(self, rows, ids, labels, scores) -> None:
         fit = np.flatnonzero((labels == self.label) & (rows != self.row) & (scores >= self.bar))
-        ids, scores = np.r_[self.ids, ids[fit]], np.r_[self.scores, scores[fit]]
+        if not len(fit):
+            return
+        ids, scores = np.concatenate([self.ids, ids[fit]]), np.concatenate([self.scores, scores[fit]])
         keep = top(scores, ids, self.k)
         self.ids, self.scores = ids[keep], scores[keep]
         if len(keep) == self.k:
@@ -131,56 +133,75 @@ class Negatives:
         self.label, self.k = anchor["label"], k
         ordered = sorted((p["rank"], p["score"]) for p in anchor["positives"])
         self.nth = [rank for rank, _ in ordered]
-        self.low, self.high = (np.array(x, dtype=object) for x in zip(*(window(s) for _, s in ordered)))
+        windows = [window(s) for _, s in ordered]
+        # Doubles hold them exactly, unless products can exceed 2^53: then they stay Python integers.
+        kind = float if all(abs(x) < 1 << 53 for w in windows for x in w) else object
+        self.low, self.high = (np.array(x, dtype=kind) for x in zip(*windows))
         # What a result must reach: the window's lower end, then the worst of enough results.
         self.bars = self.low.copy()
         self.kept = [(np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in self.nth]
 
     def wanted(self, lower, upper, nodes):
-        fits = np.zeros(len(nodes), dtype=bool)
-        for bar, high in zip(self.bars, self.high):
-            if bar <= high:
-                fits |= (upper >= float(bar)) & (lower <= float(high))
-        return fits & ~((nodes["low"] == self.label) & (nodes["high"] == self.label))
+        reach = (upper[:, None] >= self.bars.astype(float)) & (lower[:, None] <= self.high.astype(float))
+        fits = (reach & (self.bars <= self.high)).any(axis=1)
+        return fits & ((nodes["low"] != self.label) | (nodes["high"] != self.label))
 
     def best(self, upper: float) -> float:
         return min(upper, float(max(self.high)))
 
     def add(self, rows, ids, labels, scores) -> None:
-        other = labels != self.label
-        for j, (bar, high) in enumerate(zip(self.bars, self.high)):
-            fit = np.flatnonzero(other & (scores >= bar) & (scores <= high)) if bar <= high else ()
-            if len(fit):
-                found, values = np.r_[self.kept[j][0], ids[fit]], np.r_[self.kept[j][1], scores[fit]]
-                keep = top(values, found, self.k)
-                self.kept[j] = found[keep], values[keep]
-                if len(keep) == self.k:
-                    self.bars[j] = max(bar, int(values[keep[-1]]))
+        fit = np.flatnonzero((scores >= min(self.bars)) & (scores <= max(self.high)) & (labels != self.label))
+        if not len(fit):
+            return
+        fit = fit[top(scores[fit], ids[fit], len(fit))]
+        ids, scores = ids[fit], scores[fit]
+        # Best first, so each window is one stretch, of which the first rows count.
+        falling = -scores
+        starts = np.searchsorted(falling, -self.high, side="left")
+        ends = np.searchsorted(falling, -self.bars, side="right")
+        for j in np.flatnonzero(ends > starts):
+            stretch = slice(starts[j], min(ends[j], starts[j] + self.k))
+            found = np.concatenate([self.kept[j][0], ids[stretch]])
+            values = np.concatenate([self.kept[j][1], scores[stretch]])
+            keep = top(values, found, self.k)
+            self.kept[j] = found[keep], values[keep]
+            if len(keep) == self.k:
+                self.bars[j] = max(self.bars[j], values[keep[-1]])
 
     def found(self):
         return [(nth, *kept) for nth, kept in zip(self.nth, self.kept)]
 
 
 def search(pairs: DataFrame, batches: DataFrame, blocks: DataFrame, goal: type, k: int, window, peak: float) -> DataFrame:
-    """What each anchor finds in each block that its batch is sent to; ``pairs`` are ``(batch, centre)``."""
+    """What each anchor finds in the blocks that its batch is sent to; ``pairs`` are ``(batch, centre)``.
+
+    A task carries an anchor's results, and with them its bars, on over the blocks of an Arrow batch.
+    """
 
     def run(found):
         for b in found:
+            goals = {}
             for n in range(len(b["centre"])):
                 block = {name: np.frombuffer(b[name][n], np.int64) for name in ("rows", "ids", "labels")}
                 vectors = np.frombuffer(b["vectors"][n]).reshape(len(block["ids"]), -1)
                 nodes = np.frombuffer(b["nodes"][n], cover_tree.NODES)
-                out = ([], [], [], [])
                 for anchor in b["anchors"][n]:
-                    _search_block(anchor, block, vectors, nodes, goal(anchor, k, window), peak, out)
-                yield dict(zip(("anchor", "nth", "id", "score"), out))
+                    if anchor["row"] not in goals:
+                        goals[anchor["row"]] = goal(anchor, k, window)
+                    _search_block(np.frombuffer(anchor["vector"]), block, vectors, nodes, goals[anchor["row"]], peak)
+            rows = [(row, nth, ids, scores) for row, g in goals.items() for nth, ids, scores in g.found()]
+            yield {
+                "anchor": [row for row, _, ids, _ in rows for _ in ids],
+                "nth": [nth for _, nth, ids, _ in rows for _ in ids],
+                "id": [i for _, _, ids, _ in rows for i in ids.tolist()],
+                "score": [min(max(int(s), -_LONG), _LONG) for *_, scores in rows for s in scores.tolist()],
+            }
 
     told = pairs.join(batches.drop("home"), "batch").join(blocks, "centre").drop("batch")
     return map_batches(told, run, schema_of(FOUND))
 
 
-def _search_block(anchor, block, vectors, nodes, goal, peak, out) -> None:
-    query = np.frombuffer(anchor["vector"])
+def _search_block(query, block, vectors, nodes, goal, peak) -> None:
     exact = peak * peak < 1 << 52
 
     def verify(first, last):
@@ -189,11 +210,6 @@ def _search_block(anchor, block, vectors, nodes, goal, peak, out) -> None:
         goal.add(block["rows"][part], block["ids"][part], block["labels"][part], scores)
 
     cover_tree.descend(vectors, nodes, query, 1e-9 * peak * peak + 1e-6, goal.wanted, goal.best, verify)
-    for nth, ids, scores in goal.found():
-        out[0].extend([anchor["row"]] * len(ids))
-        out[1].extend([nth] * len(ids))
-        out[2].extend(ids.tolist())
-        out[3].extend(min(max(int(s), -_LONG), _LONG) for s in scores.tolist())
 
 
 def _whole_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:

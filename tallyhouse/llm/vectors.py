@@ -70,7 +70,7 @@ def top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` best: highest score, then smallest id."""
     if scores.dtype == object:
         return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=np.int64)
-    if len(scores) > 4 * k:
+    if k and len(scores) > 4 * k:
         few = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
     else:
         few = np.arange(len(scores))

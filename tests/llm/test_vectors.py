@@ -167,7 +167,7 @@ def test_cover_tree(kind):
     rng = np.random.default_rng(2)
     points = rng.normal(size=(600, 6))
     if kind == "clustered":
-        points = 20 * points[:20].repeat(30, axis=0) + 0.05 * points
+        points = 20 * points[:10].repeat(60, axis=0) + 0.05 * points
     if kind == "copies":
         points = np.ones((600, 6))
     labels = rng.integers(0, 5, 600)
