@@ -17,6 +17,10 @@ from tallyhouse.session import materialise
 # compares all stages with brute force.
 ORACLE_SQL = None
 
+# Passages of more than 50 words are to go. In prose such a passage has at least about 270 bytes, so this many of
+# them, some 45 words, must be found again elsewhere. Shorter repeats, as stock phrases and notices, stay.
+PASSAGE_BYTES = 256
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
@@ -27,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    edited = suffix_dedup.remove_repeats(docs)
+    edited = suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES)
     return edited.withColumn("n_chars", F.length("text").cast("long"))
 
 
