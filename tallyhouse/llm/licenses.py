@@ -8,11 +8,13 @@ or equal priority is dropped, of two for the same words at equal priority the la
 which are never dropped.
 
 Empty cases: null and empty texts have no words, no labels, null positions and score 0. A null
-``doc_id`` stays null; repeated rows are scanned each.
+``doc_id`` stays null; repeated rows are scanned each; an empty table gives an empty result. Very long texts with
+many matches take time in proportion to their length. Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
 
+import json
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -99,6 +101,48 @@ TEMPLATES = (
 )
 BASE_CONFIDENCE = 0.5
 
+# Hand-written sentences of licence bodies and notices: label, a word that every match has, expression.
+# They rank before all templates, since they say what the text itself grants.
+BODIES = r"""
+mit       | hereby     | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
+mit       | portions   | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+bsd       | redistribution | redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+bsd       | contributors | neither the name of (?:[^ ]+ ){1,12}nor the names of (?:its|the) contributors may be used to endorse or promote products
+bsd       | redistributions | redistributions (?:of source code must retain|in binary form must reproduce) the above copyright notice
+isc       | fee        | permission to use copy modify (?:and or|and) distribute this software for any purpose with or without fee is hereby granted
+apache    | compliance | you may not use this (?:file|work|software) except in compliance with the licen[cs]e
+apache    | apache     | you may obtain a copy of the licen[cs]e at (?:https? )?www apache org licenses license 2 0
+apache    | apache     | apache license version 2 0 january 2004
+agpl      | affero     | free software you can redistribute it and or modify it under the terms of the gnu affero general public license
+lgpl      | library    | this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license
+gpl       | redistribute | this program is free software you can redistribute it and or modify it under the terms of the gnu general public license
+gpl       | gnu        | you should have received a copy of the gnu general public license along with this (?:program|software)
+gpl       | freedom    | the licenses for most (?:software|software and other practical works) are designed to take away your freedom to share and change (?:it|the works)
+gfdl      | invariant  | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license (?:[^ ]+ ){0,20}invariant sections
+mpl       | mozilla    | this source code form is subject to the terms of the mozilla public license
+epl       | eclipse    | this program and the accompanying materials are made available under the terms of the eclipse public license
+edl       | eclipse    | this program and the accompanying materials are made available under the terms of the eclipse distribution license
+cddl      | distribution | the contents of this file are subject to the terms of the common development and distribution license
+bsl       | organization | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
+zlib      | liable     | in no event will the authors be held liable for any damages arising from the use of this software
+zlib      | misrepresented | the origin of this software must not be misrepresented you must not claim that you wrote the original software
+unlicense | unencumbered | this is free and unencumbered software released into the public domain
+wtfpl     | verbatim   | everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed
+cc0       | dedicated  | has dedicated the work to the public domain by waiving all of (?:his or her|their) rights to the work worldwide under copyright law
+cc-by     | share      | you are free to share copy and redistribute the material in any medium or format
+ofl       | fonts      | the fonts including any derivative works can be bundled embedded redistributed and or sold with any software
+artistic  | package    | the intent of this document is to state the conditions under which a package may be copied
+postgresql | agreement | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
+x11       | consortium | except as contained in this notice the name of the x consortium shall not be used in advertising
+openssl   | openssl    | this product includes software developed by the openssl project for use in the openssl toolkit
+php       | php        | this product includes php software freely available from
+psf       | python     | this license agreement is between the python software foundation
+ms-pl     | accompanying | this license governs use of the accompanying software if you use the software you accept this license
+busl      | licensor   | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work
+sspl      | functionality | make the functionality of the program or a modified version available to third parties as a service
+""".strip().splitlines()
+BODY_CONFIDENCE = 0.95
+
 
 class Rule(NamedTuple):
     label: str
@@ -109,12 +153,15 @@ class Rule(NamedTuple):
 
 
 def _rules() -> list[Rule]:
-    """Every name under every template. Names that say more stand first within a template."""
+    """The bodies, then every name under every template. Names that say more stand first within a template."""
     names = [[c.strip() for c in re_split(line)] for line in NAMES]
+    bodies = [[c.strip() for c in re_split(line)] for line in BODIES]
     return [
+        Rule(label, ((word,),), f"(?<= )(?:{regex})(?= )", 0, BODY_CONFIDENCE) for label, word, regex in bodies
+    ] + [
         # Whole words only: the text has a space on both sides of each word.
         Rule(label, (tuple(own.split()), more) if more else (tuple(own.split()),), "(?<= )(?:" + shape.replace("{n}", name).replace("{i}", ident) + ")(?= )", t, sure)
-        for t, (_, shape, sure, more) in enumerate(TEMPLATES)
+        for t, (_, shape, sure, more) in enumerate(TEMPLATES, 1)
         for label, own, name, ident in names
     ]
 
@@ -131,10 +178,6 @@ def _keywords(rules: list[Rule]) -> list[str]:
     return sorted({k for r in rules for group in r.keywords for k in group} | {w for p, _ in BASE for w in p.split()})
 
 
-def _spaces(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-
-
 def _phrase_starts(words: Column, phrase: str) -> Column:
     """Word indexes at which the phrase's words stand consecutively."""
     parts = phrase.split()
@@ -150,26 +193,34 @@ def _phrase_starts(words: Column, phrase: str) -> Column:
     return F.filter(where, here)
 
 
+# Stand before and behind a detection; no word contains them.
+_OPEN, _CLOSE = "\x01", "\x02"
+
+
 def _detections(text: Column, rule: Column) -> Column:
-    """Detections of one rule: first word, last word (negated, so that longer sorts first), priority, label."""
-    found = F.regexp_extract_all(text, rule["regex"], F.lit(0))
-    between = F.split(text, rule["regex"], -1)
-    kind = "array<struct<first:int,minus_last:int,priority:int,label:string,confidence:double>>"
-    begin = F.struct(F.lit(-1).alias("word"), F.array().cast(kind).alias("out"))
-
-    def step(acc: Column, pair: Column) -> Column:
-        first = acc["word"] + _spaces(pair["between"])
-        last = first + _spaces(pair["found"])
-        one = F.struct(
-            first.alias("first"), (-last).alias("minus_last"), rule["priority"].alias("priority"),
-            rule["label"].alias("label"), rule["confidence"].alias("confidence"),
+    """Detections of one rule: first word, last word (negated, so that longer sorts first), priority, label.
+
+    The matches are marked in the text, whose words then tell their own places: the first words and the last
+    words of the matches come in the same order. So the work grows with the text, however many matches it has.
+    """
+    marked = F.regexp_replace(text, rule["regex"], F.lit(f"{_OPEN}$0{_CLOSE}"))
+
+    def places(words: Column, mark: Column) -> Column:
+        return F.filter(F.transform(words, lambda w, i: F.when(F.contains(w, mark), i - 1)), lambda i: i.isNotNull())
+
+    def pairs(words: Column) -> Column:
+        # The text begins with a space, so its first word is the second part.
+        return F.zip_with(
+            places(words, F.lit(_OPEN)), places(words, F.lit(_CLOSE)),
+            lambda first, last: F.struct(
+                first.alias("first"), (-last).alias("minus_last"), rule["priority"].alias("priority"),
+                rule["label"].alias("label"), rule["confidence"].alias("confidence"),
+            ),
         )
-        return F.struct(last.alias("word"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    pairs = F.zip_with(
-        F.slice(between, 1, F.size(found)), found, lambda b, f: F.struct(b.alias("between"), f.alias("found"))
-    )
-    return F.aggregate(pairs, begin, step, lambda acc: acc["out"])
+    # As an array of one, so that the marked text is made once.
+    hit = F.filter(F.array(marked), lambda m: F.contains(m, F.lit(_OPEN)))
+    return F.flatten(F.transform(F.transform(hit, lambda m: F.split(m, " ")), pairs))
 
 
 def _resolve(sorted_detections: Column) -> Column:
@@ -179,7 +230,7 @@ def _resolve(sorted_detections: Column) -> Column:
     current one. So it is contained in one of a better or equal priority exactly if the furthest
     last word of those reaches its own: one number per priority is the whole state.
     """
-    n = len(TEMPLATES)
+    n = 1 + len(TEMPLATES)
     begin = F.struct(
         F.array_repeat(F.lit(-1), n).alias("reach"),
         F.array().cast("array<string>").alias("labels"),
@@ -200,20 +251,10 @@ def _resolve(sorted_detections: Column) -> Column:
     return F.aggregate(sorted_detections, begin, step)
 
 
-def _groups(rule: Rule) -> Column:
-    return F.array(*[F.array(*map(F.lit, group)) for group in rule.keywords]).cast("array<array<string>>")
-
-
 def _rule_table(rules: list[Rule]) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                _groups(r).alias("keywords"), F.lit(r.regex).alias("regex"),
-                F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.confidence).alias("confidence"),
-            )
-            for r in rules
-        ]
-    )
+    """The rules as one literal; built column by column, hundreds of them take seconds."""
+    kind = "array<struct<label:string,keywords:array<array<string>>,regex:string,priority:int,confidence:double>>"
+    return F.from_json(F.lit(json.dumps([r._asdict() for r in rules])), kind)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

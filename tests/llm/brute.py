@@ -140,6 +140,22 @@ def licenses(text):
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
 
 
+def license_method(text, rules):
+    """Labels and score of the rules: all matches on the normalised text, and none within a better or equal one."""
+    norm = " " + " ".join(LETTER_WORD.findall(lower(text))) + " "
+    found = set()
+    for r in rules:
+        for m in re.finditer(r.regex, norm):
+            first = norm.count(" ", 0, m.start()) - 1
+            found.add((first, -(first + m[0].count(" ")), r.priority, r.label, r.confidence))
+    ordered, kept = sorted(found), []
+    for n, (first, last, priority, label, sure) in enumerate(ordered):
+        inside = any(-other[1] >= -last and other[2] <= priority for other in ordered[:n])
+        if not inside:
+            kept.append((label, sure))
+    return {label for label, _ in kept}, max((sure for _, sure in kept), default=0.0)
+
+
 def verdict(url):
     url = url or ""
     rest = url.partition("://")[2]

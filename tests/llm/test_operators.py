@@ -282,6 +282,13 @@ def test_licenses(docs):
     found = licenses.scan_licenses(docs)
     base = found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
     assert rows(base) == Counter((d, *brute.licenses(t)) for d, t in texts(docs))
+    method = Counter()
+    for d, t in texts(docs):
+        labels, score = brute.license_method(t, licenses.RULES)
+        own = brute.licenses(t)[-1]
+        labels |= set(own.split(",")) if own else set()
+        method[d, ",".join(sorted(labels)), max(score, licenses.BASE_CONFIDENCE if own else 0.0)] += 1
+    assert rows(found.select("doc_id", "labels", "score")) == method
     for r in found.collect():
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
@@ -355,3 +362,46 @@ def test_license_gate_changes_no_result(spark):
     assert {t: found[i].labels for i, t in enumerate(LOST)} == LOST
     assert found == {r.doc_id: r for r in licenses.scan_licenses(docs, rules=rules).collect()}
     assert all(found[i].labels for i in range(len(LOST), len(given)))
+
+
+BODIES = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software)": "mit",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: x": "bsd",
+    "Neither the name of the University of X nor the names of its contributors may be used to endorse or promote products derived": "bsd",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": "isc",
+    "you may not use this file except in compliance with the License. You may obtain a copy": "apache",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published": "gpl",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License": "lgpl",
+    "This is free and unencumbered software released into the public domain.": "unlicense",
+    "permission to use the software is given": "",
+}
+
+
+def test_license_bodies(spark):
+    docs = spark.createDataFrame(list(enumerate(BODIES)), "doc_id long, text string")
+    found = {r.doc_id: (r.labels.split(",") if r.labels else [], r.score) for r in licenses.scan_licenses(docs).collect()}
+    for i, (text, label) in enumerate(BODIES.items()):
+        assert (label in found[i][0] and found[i][1] == 0.95) if label else found[i] == ([], 0.0)
+        labels, score = brute.license_method(text, licenses.RULES)
+        assert (set(found[i][0]) - {"gpl"} == labels - {"gpl"}) and found[i][1] == score
+
+
+def test_license_scan_of_a_long_text_is_linear(spark):
+    """Twenty thousand notices in one text; with work that grows with their square this took a minute."""
+    import time
+
+    notice = "licensed under the apache license version 2 "
+    docs = spark.createDataFrame([(1, notice * 20_000), (2, "x " + notice * 3)], "doc_id long, text string")
+    start = time.perf_counter()
+    found = {r.doc_id: (r.n_words, r.n_base, r.labels, r.score) for r in licenses.scan_licenses(docs).collect()}
+    assert found == {1: (140_000, 20_000, "apache", 0.9), 2: (22, 3, "apache", 0.9)}
+    assert time.perf_counter() - start < 30
+
+
+def test_simhash_keeps_one_with_any_column_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 5, 6), (2, "a b c d", 7, 8), (2, "x y z", 9, 1), (None, "a", 1, 1)],
+                                 "doc_id long, text string, _fp long, fp long")
+    left = simhash.keep_one(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.where("doc_id IS NOT NULL").collect())) == [(1, "a b c d", 5, 6), (2, "x y z", 9, 1)]
+    assert left.count() == 3
