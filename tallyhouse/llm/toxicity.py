@@ -10,8 +10,10 @@ task of its own, and the weights are averaged. Toxic rows are rare, so the bias
 the labels' ratio: the score is the chance of label 1 if both labels were equally frequent. All rows
 are scored.
 
-Empty cases: a text without words has the bias alone as its score. Labels that are null or whose
-document is missing are not used; a document labelled more than once is toxic if any label says
+Empty cases: a text without words has the bias alone as its score, and an empty table gives an empty result.
+A null ``doc_id`` is scored, is not held out and is never learned from. Very long texts are scored in a run of their own. Other columns
+are not read. Labels that are null or whose
+document is missing are not used, not even counted; a document labelled more than once is toxic if any label says
 so. Of rows that repeat a labelled id the least text is learned from. Without labels the score is 0.5 for every text. Repeated rows are scored each.
 """
 
@@ -23,6 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.llm.common import letter_words, map_batches, schema_of
+from tallyhouse.session import materialise
 
 HASH_BITS = 24
 SAMPLE_ROWS, SHARD_ROWS = 40_000, 10_000
@@ -98,11 +101,14 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, sample_rows: int
 
     ``docs`` has ``doc_id, text``, ``labels`` has ``doc_id, toxic``.
     """
-    usable = (
+    known = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    labelled = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    # Labels of missing documents must move neither the bias nor the number of shards.
+    usable = materialise(labelled.join(known, "doc_id", "left_semi"), "labelled")
     rows, toxic = usable.agg(F.count("*"), F.count_if(F.col("toxic") > 0)).first()
     share = min(1.0, sample_rows / max(rows, 1))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))

@@ -44,3 +44,52 @@ def test_texts_are_scored_alone(spark, monkeypatch):
     for i, t in docs.collect():
         total = sum(weights.get(int(p), 0) for p in toxicity.example(t, hashes))
         assert abs(together[i] - toxicity._sigmoid(total)) < 1e-9
+
+
+def plain_ftrl(examples, epochs):
+    """FTRL-proximal, one number at a time."""
+    from math import exp, sqrt
+
+    t, z, n = toxicity, {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= t.L1:
+            return 0.0
+        return -(z[i] - (t.L1 if z[i] > 0 else -t.L1)) / ((t.BETA + sqrt(n[i])) / t.ALPHA + t.L2)
+
+    for _ in range(epochs):
+        for places, label in examples:
+            w = {int(i): weight(int(i)) for i in places}
+            error = 1 / (1 + exp(-max(-30.0, min(30.0, sum(w.values()))))) - label
+            for i in w:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + error - (sqrt(old + error * error) - sqrt(old)) / t.ALPHA * w[i]
+                n[i] = old + error * error
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_fit_is_plain_ftrl():
+    import random
+
+    rng, hashes = random.Random(1), toxicity.WordHashes()
+    words = [f"w{i}" for i in range(40)] + ["bad"]
+    given = []
+    for _ in range(300):
+        text = [rng.choice(words) for _ in range(12)]
+        given.append((toxicity.example(" ".join(text), hashes), int("bad" in text)))
+    at, w = toxicity.fit(given, epochs=3)
+    wanted = plain_ftrl(given, epochs=3)
+    # Weights are kept in short floats, so those that L1 just lets through may differ.
+    sure = {i for i, x in wanted.items() if abs(x) > 1e-3}
+    found = dict(zip(at.tolist(), w.tolist()))
+    assert len(sure) > 5 and sure <= set(found)
+    assert all(abs(found[i] - wanted.get(i, 0.0)) < 2e-3 for i in found)
+
+
+def test_labels_without_documents_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "L1", 0.5)
+    docs = spark.createDataFrame([(i, f"{'bad' if i % 4 == 0 else 'good'} words {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, toxic int")
+    more = spark.createDataFrame([(1000 + i, 0) for i in range(4000)], "doc_id long, toxic int")
+    scores = lambda given: {r.doc_id: r.score for r in toxicity.toxicity(docs, given).collect()}
+    assert scores(labels) == scores(labels.unionByName(more))
