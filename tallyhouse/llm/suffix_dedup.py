@@ -13,7 +13,8 @@ only the suffixes at such anchors are sorted, and only those whose substring rep
 
 Copies of a whole text are one text throughout. Suffixes with the same surroundings are merged
 before they are sent. A substring with more than ``hot`` distinct places is not gathered in
-one task: its strings are counted by 128-bit digests with partial aggregates.
+one task: its strings are counted by their SHA-256 digests, by which whole texts are told apart too, with
+partial aggregates. Nothing is known to have equal SHA-256 digests but equal strings.
 
 Empty cases: null and empty texts have no bytes and lose none; texts shorter than ``length``
 lose none. Repeated rows are copies of each other, so both lose all that is ``length`` bytes
@@ -312,7 +313,7 @@ def hot_spans(found: DataFrame, length: int) -> DataFrame:
             for tid, text, firsts, lasts in zip(*(b[k] for k in ("tid", "text", "first", "last"))):
                 data = text.encode("utf-8", "replace")
                 starts = [s for first, last in zip(firsts, lasts) for s in range(first, last + 1)]
-                keys = [hashlib.blake2b(data[s : s + length], digest_size=16).digest() for s in starts]
+                keys = [hashlib.sha256(data[s : s + length]).digest() for s in starts]
                 yield {"tid": [tid] * len(starts), "start": starts, "key": keys}
 
     windows = materialise(map_batches(found, run, schema_of("tid long, start long, key binary")), "hot-windows")
