@@ -319,21 +319,22 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def _with_fingerprint(docs: DataFrame, text_col: str, name: str) -> DataFrame:
-    """``docs`` with the fingerprint of each row's text as a further column."""
+def _with_fingerprint(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``(doc_id, text, doc)`` with the fingerprint ``fp`` of each text."""
 
     def run(batches):
         for b in batches:
-            own = [_signed(fingerprint(t)) for t in b.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own, type=pa.int64())], names=[*b.schema.names, name])
+            own = [_signed(fingerprint(t)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own, type=pa.int64())], names=[*b.schema.names, "fp"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("fp", T.LongType())]))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near texts, the one with the smallest id and fingerprint.
 
-    Rows with a null id cannot be told apart and all stay.
+    Rows with a null id cannot be told apart and all stay. Rows travel as one struct, so that no
+    name of theirs can clash with those used here.
     """
     prints = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
     # A fingerprint is its own node: by doc_id, different texts of one id would be one.
@@ -342,12 +343,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = components(_near(nodes))
     labels = nodes.join(found, nodes["id"] == found["node"], "left")
     first = labels.groupBy(F.coalesce("component", "id")).agg(F.min(F.struct("doc_id", "fp")).alias("first"))
-    first = materialise(first.select(F.col("first.doc_id").alias(id_col), F.col("first.fp").alias("_fp")), "first")
+    first = materialise(first.select("first.doc_id", "first.fp"), "first")
     # Only where an id has different fingerprints do the rows need theirs to be told apart.
-    several = materialise(_several(prints).withColumnRenamed("doc_id", id_col), "several")
-    exact = materialise(first.join(several, id_col, "left_semi"), "exact")
-    named = docs.join(first.join(several, id_col, "left_anti"), id_col, "left_semi").dropDuplicates([id_col])
-    texts = _with_fingerprint(docs.join(exact, id_col, "left_semi"), text_col, "_fp")
-    told = texts.join(exact, [id_col, "_fp"], "left_semi").dropDuplicates([id_col, "_fp"])
-    kept = named.select(*docs.columns).unionByName(told.select(*docs.columns))
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    several = materialise(_several(prints), "several")
+    exact = materialise(first.join(several, "doc_id", "left_semi"), "exact")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct("*").alias("doc"))
+    named = rows.join(first.join(several, "doc_id", "left_anti"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = _with_fingerprint(rows.join(exact, "doc_id", "left_semi"))
+    told = texts.join(exact, ["doc_id", "fp"], "left_semi").dropDuplicates(["doc_id", "fp"])
+    kept = named.select("doc").unionByName(told.select("doc")).unionByName(rows.where("doc_id IS NULL").select("doc"))
+    return kept.select("doc.*")

@@ -36,6 +36,7 @@ def odd(spark):
 
     frame = spark.createDataFrame(odd_rows(), SCHEMA).repartition(3)
     names = ("words", "kept", "digest", "fp", "id", "score", "hits", "doc", "n_words", "component_id", "sequence_id", "tid")
+    names += ("_fp", "row", "first", "new_text", "rules", "mark", "found", "s", "block", "pair", "label", "toxic")
     return frame.withColumns({n: F.lit(None).cast("string") for n in names})
 
 

@@ -19,7 +19,7 @@ def texts(df):
 
 def edited(docs):
     out = []
-    for (d, t), data, gone in zip(docs, *brute.removed_bytes(docs)):
+    for (d, t), data, gone in zip(docs, *brute.removed_bytes(docs, corpus_pipeline.PASSAGE_BYTES)):
         at, kept = 0, []
         for c in t or "":
             size = len(c.encode())
