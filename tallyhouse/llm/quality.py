@@ -1,11 +1,12 @@
 """Quality rules: a threshold table compiled into one Spark projection, without user functions.
 
 Measures per text: words and their code points, symbols, repeated lines, words in repeated
-five-word windows, stop words, shouting words. A rule compares ``scale * measure`` with
+five-word windows, stop words, words in capitals (two or more of A-Z and none of a-z), exclamation marks. A rule compares ``scale * measure`` with
 ``bound * per``; all arithmetic is on whole numbers. A text is kept when no rule rejects it.
 
 Empty cases: a null or empty text has no words and fails the word count. A null ``doc_id``
-stays null, repeated rows are judged each, an empty table gives an empty result.
+stays null, repeated rows are judged each, an empty table gives an empty result. Very long texts are judged whole.
+Rows travel as one struct, so that no column name of theirs can clash.
 """
 
 from __future__ import annotations
@@ -50,8 +51,12 @@ METHOD_RULES = (
     Rule("repeated_lines", "n_dup_lines", True, 50, "n_lines", 20),
     Rule("no_stop_words", "n_stop_words", False, 1, "n_words", 100),
     Rule("shouting", "n_shouted", True, 50, "n_words", 20),
+    Rule("exclaiming", "n_exclaimed", True, 5, "word_chars", 20),
 )
 
+# A word in capitals; no part of it can be read in two ways, so long words take one pass.
+SHOUTED = r"(?<![^\x20\x09-\x0D])(?:[^a-zA-Z\x20\x09-\x0D]*+[A-Z]){2}[^a-z\x20\x09-\x0D]*+(?![^\x20\x09-\x0D])"
+
 
 def _verdict(rule: Rule) -> Column:
     left, right = F.col(rule.measure) * 100, F.lit(rule.percent) * (1 if rule.per == "one" else F.col(rule.per))
@@ -89,7 +94,8 @@ def with_measures(frame: DataFrame) -> DataFrame:
             "word_chars": F.length(F.regexp_replace("text", SPACE, "")).cast("long"),
             "n_symbols": F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long"),
             "n_stop_words": F.size(F.filter(words, lambda w: w.isin(STOP_WORDS))).cast("long"),
-            "n_shouted": F.size(F.filter(words, lambda w: w.endswith("!!"))).cast("long"),
+            "n_shouted": F.regexp_count("text", F.lit(SHOUTED)).cast("long"),
+            "n_exclaimed": (F.length("text") - F.length(F.translate("text", "!", ""))).cast("long"),
             "lines": F.filter(F.split("text", "\n"), lambda x: x.rlike(any_word)),
             "hashes": F.transform(starts, lambda i: _window_hash(words, i)),
         }
@@ -160,12 +166,14 @@ m AS (
     length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
     coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(words, lambda x: x IN (STOP_WORDS))) AS n_stop, len(list_filter(words, lambda x: x LIKE '%!!')) AS n_shout
+    len(list_filter(words, lambda x: x IN (STOP_WORDS))) AS n_stop, len(list_filter(words, lambda x: regexp_matches(x, '^[^a-z]*[A-Z][^a-z]*[A-Z][^a-z]*$'))) AS n_shout,
+    length(regexp_replace(text, '[^!]+', '', 'g')) AS n_exclaim
   FROM w JOIN lines USING (doc_id) LEFT JOIN covered c USING (doc_id)),
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR (n_words >= 20 AND (100 * word_chars > 1500 * n_words OR 100 * word_chars < 200 * n_words
-    OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 50 * n_lines OR 100 * n_shout > 50 * n_words))
+    OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 50 * n_lines OR 100 * n_shout > 50 * n_words
+    OR 100 * n_exclaim > 5 * word_chars))
     OR (n_words >= 100 AND 100 * n_stop < n_words)) AS kept
 FROM f
 """.replace("STOP_WORDS", ", ".join(f"'{w}'" for w in STOP_WORDS))
