@@ -5,7 +5,8 @@ with the rule's path. Among the rules that fit, the longest text ``host + path``
 of two equally long ones the one with the longer host, and block before allow.
 
 Empty cases: a null URL, or one without ``://``, has an empty host and path, which no
-rule fits. Such URLs and all others without a rule get the default verdict.
+rule fits. Such URLs and all others without a rule get the default verdict. A null id stays null, repeated rows are
+judged each, very long URLs are read whole, an empty table gives an empty result, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -46,13 +47,15 @@ class Rule(NamedTuple):
 class Node:
     """Trie node. Labels lead down the host, then segments down the path from the host's node."""
 
-    __slots__ = ("labels", "segments", "ends")
+    __slots__ = ("labels", "segments", "ends", "lengths")
 
     def __init__(self):
         self.labels: dict[str, Node] = {}
         self.segments: dict[str, Node] = {}
         # A rule's last segment is a prefix: '' in '/en/' fits whatever follows the slash.
         self.ends: dict[str, Rule] = {}
+        # Their distinct lengths, longest first: a segment is looked up once per length, however many rules end here.
+        self.lengths: list[int] = []
 
 
 def build_trie(rules: Iterable[tuple[str, str, str]]) -> Node:
@@ -66,6 +69,8 @@ def build_trie(rules: Iterable[tuple[str, str, str]]) -> Node:
         for segment in whole:
             node = node.segments.setdefault(segment, Node())
         if last not in node.ends or rule.rank > node.ends[last].rank:
+            if len(last) not in node.lengths:
+                node.lengths = sorted([*node.lengths, len(last)], reverse=True)
             node.ends[last] = rule
     return root
 
@@ -80,9 +85,12 @@ def find(root: Node, host: str, path: str) -> Rule | None:
             break
         place = node
         for segment in segments:
-            for last, rule in place.ends.items():
-                if segment.startswith(last) and (best is None or rule.rank > best.rank):
-                    best = rule
+            for length in place.lengths:
+                rule = place.ends.get(segment[:length]) if length <= len(segment) else None
+                if rule is not None:
+                    # Shorter ends of this place rank lower.
+                    best = rule if best is None or rule.rank > best.rank else best
+                    break
             place = place.segments.get(segment)
             if place is None:
                 break
