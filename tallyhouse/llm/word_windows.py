@@ -9,7 +9,10 @@ word that its parts do not, so there is nothing left to extend.
 Every task first settles what it can tell from its own documents and sends one entry per window.
 So a window that a third of all documents share costs each task one entry.
 
-Empty cases: null and empty texts, and texts with fewer words than a window, lose nothing. A document
+Windows are compared by two 64-bit hashes made from different hashes of their words.
+
+Empty cases: null and empty texts, and texts with fewer words than a window, lose nothing; an empty table gives an empty
+result. Very long texts are cut whole. Other columns are not read. A document
 with a null ``doc_id`` has no place in the order: it loses nothing and takes nothing away. Rows that
 repeat a ``doc_id`` are not smaller than each other; each is cut by its own text. Different texts of one
 ``doc_id`` are told apart by a mark, the 64-bit digest of the text, which is zero for all other rows.
@@ -28,6 +31,8 @@ from tallyhouse.session import materialise
 WINDOW = 13
 # Entries a task sorts at once.
 CHUNK = 1_000_000
+# Entries of a bucket, and how many bytes of text a word has at least on average.
+BUCKET_ENTRIES, BYTES_PER_WORD = 500_000, 4
 MAX_CACHED_WORDS = 200_000
 _BASES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 _MIX = np.uint64(0x165667B19E3779F9)
@@ -39,12 +44,13 @@ class Hasher:
     """Hashes of words and windows, and the half window that stands for each final window."""
 
     def __init__(self, window: int):
-        from xxhash import xxh64_intdigest
+        from xxhash import xxh3_128_digest
 
-        self.digest, self.known = xxh64_intdigest, {}
+        self.digest, self.known = xxh3_128_digest, {}
         self.window, self.half = window, -(-window // 2)
 
     def words(self, text: str | None) -> np.ndarray:
+        """Two independent 64-bit hashes per word, as two rows."""
         known, out = self.known, []
         for w in space_words(text):
             h = known.get(w)
@@ -53,7 +59,7 @@ class Hasher:
                     known.clear()
                 h = known[w] = self.digest(w, 11)
             out.append(h)
-        return np.array(out, dtype=np.uint64)
+        return np.ascontiguousarray(np.frombuffer(b"".join(out), dtype="<u8").reshape(-1, 2).T)
 
     @staticmethod
     def windows(hashes: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
@@ -66,19 +72,23 @@ class Hasher:
 
     def halves(self, hashes: np.ndarray) -> np.ndarray:
         """Hash of the standing half window of every final window, by start."""
-        low = self.windows(hashes, self.half, _BASES[0])
+        low = self.windows(hashes[0], self.half, _BASES[0])
         reach, width = self.window - self.half + 1, 1
         while 2 * width <= reach:
             low, width = np.minimum(low[:-width], low[width:]), 2 * width
         return np.minimum(low[: len(low) - (reach - width)], low[reach - width :]) if width < reach else low
 
     def finals(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.windows(hashes, self.window, _BASES[0]), self.windows(hashes, self.window, _BASES[1])
+        return self.windows(hashes[0], self.window, _BASES[0]), self.windows(hashes[1], self.window, _BASES[1])
+
 
+def _buckets(docs: DataFrame) -> int:
+    """As many as keep the entries of a bucket, one per word at most, at about ``BUCKET_ENTRIES``.
 
-def _buckets(df: DataFrame) -> int:
-    """A few per shuffle partition, so that they grow with the input as the session is sized for it."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    Counted from the bytes of the texts, so a bucket fits a task whatever the session's settings are.
+    """
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    return max(8, -(-total // (BYTES_PER_WORD * BUCKET_ENTRIES)))
 
 
 def _send(hashes: np.ndarray, table: np.ndarray, buckets: int):
@@ -142,13 +152,12 @@ def marked(docs: DataFrame) -> DataFrame:
     return docs.join(several, "doc_id", "left").select("doc_id", "text", mark.alias("mark"))
 
 
-def repeated_halves(docs: DataFrame, window: int) -> DataFrame:
+def repeated_halves(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     """``(doc_id, mark, hash)``: standing half windows that also stand in another document.
 
     Of texts with one ``doc_id`` in one task, those that share a window pass too; the next level
     compares the documents.
     """
-    buckets = _buckets(docs)
 
     def settle(pairs: list[np.ndarray]):
         table, group = _groups(np.unique(np.concatenate(pairs), axis=0) if len(pairs) > 1 else pairs[0], 1)
@@ -199,12 +208,11 @@ def repeated_halves(docs: DataFrame, window: int) -> DataFrame:
     return _receive(sent, 4, solve, "doc_id long, mark long, hash long")
 
 
-def later_windows(candidates: DataFrame, window: int) -> DataFrame:
+def later_windows(candidates: DataFrame, window: int, buckets: int) -> DataFrame:
     """``(doc_id, mark, start, count)``: runs of final windows that also start in a smaller document.
 
     ``candidates`` has ``doc_id``, ``mark``, ``text`` and ``hashes``, the repeated half windows of the text.
     """
-    buckets = _buckets(candidates)
 
     def decide(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Columns k1, k2, doc, mark, start and more: rows of later documents, and rows of the first."""
@@ -286,10 +294,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = docs.select(id_col, text_col).withColumnsRenamed(
         {a: b for a, b in ((id_col, "doc_id"), (text_col, "text")) if a != b}
     )
-    ordered = marked(named.where("doc_id IS NOT NULL"))
+    ordered, buckets = marked(named.where("doc_id IS NOT NULL")), _buckets(named)
     key = ["doc_id", "mark"]
-    halves = repeated_halves(ordered, window).groupBy(*key).agg(F.collect_set("hash").alias("hashes"))
-    runs = later_windows(ordered.join(halves, key), window)
+    halves = repeated_halves(ordered, window, buckets).groupBy(*key).agg(F.collect_set("hash").alias("hashes"))
+    runs = later_windows(ordered.join(halves, key), window, buckets)
     found = runs.groupBy(*key).agg(F.collect_set(F.struct("start", "count")).alias("r"))
     # The same rows by the same key as in the join before, so Spark shuffles the texts once for both.
     joined = ordered.join(found, key, "left").select("doc_id", "text", "r.start", "r.count")
