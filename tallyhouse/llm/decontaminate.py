@@ -5,11 +5,13 @@ window. Rolling hashes of the numbers find candidate windows, and every candidat
 word by word before it counts.
 
 The benchmark goes out in blocks of a bounded number of words, one pass each, so the broadcast has
-a size limit while any benchmark fits; hits of several blocks are merged per document.
+a size limit while any benchmark fits; hits of several blocks are merged per document. All blocks together stay
+on the driver and the workers' disks, and each is one more scan: meant for benchmarks of up to some millions of words.
 
 Empty cases: null and empty texts have no words and no hits; a null benchmark text has no
 windows. An item with a null id marks words but is not listed. Repeated documents are judged
-each; repeated items count once. An empty benchmark finds nothing.
+each; repeated items count once. An empty benchmark finds nothing, an empty document table gives an empty result.
+Very long texts are scanned whole. Rows travel as structs, so that no column name of theirs can clash.
 """
 
 from __future__ import annotations
@@ -97,8 +99,8 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int
     yield block
 
 
-def _scan_block(numbered: DataFrame, block: list[tuple]) -> DataFrame:
-    """Hit word positions and item ids of each document for one block."""
+def _scan_block(numbered: DataFrame, block: list[tuple], only_hits: bool = False) -> DataFrame:
+    """Hit word positions and item ids of each document, or of those with hits, for one block."""
     shared = numbered.sparkSession.sparkContext.broadcast(block)
 
     def chunk(windows, rows, ids, lengths):
@@ -110,12 +112,13 @@ def _scan_block(numbered: DataFrame, block: list[tuple]) -> DataFrame:
             hits, named = found[at]
             hits.update(range(start - int(begins[at]), start - int(begins[at]) + size))
             named.update(i for i in items if i is not None)
+        told = sorted(found) if only_hits else range(len(rows))
         return {
-            "row": [r[0] for r in rows],
-            "doc_id": [r[1] for r in rows],
-            "n_words": [r[2] for r in rows],
-            "hits": [sorted(found[i][0]) if i in found else [] for i in range(len(rows))],
-            "items": [sorted(found[i][1]) if i in found else [] for i in range(len(rows))],
+            "row": [rows[i][0] for i in told],
+            "doc_id": [rows[i][1] for i in told],
+            "n_words": [rows[i][2] for i in told],
+            "hits": [sorted(found[i][0]) if i in found else [] for i in told],
+            "items": [sorted(found[i][1]) if i in found else [] for i in told],
         }
 
     def run(batches):
@@ -151,9 +154,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         return _scan_block(plain, first).drop("row")
     # Repeated rows have equal ids, so each row gets a number of its own before the passes.
     numbered = materialise(plain.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
-    passes = _scan_block(numbered, first).unionByName(_scan_block(numbered, second))
+    # The first pass tells every row's size; from the others only rows with hits come back.
+    passes = _scan_block(numbered, first).unionByName(_scan_block(numbered, second, only_hits=True))
     for block in blocks:
-        passes = passes.unionByName(_scan_block(numbered, block))
+        passes = passes.unionByName(_scan_block(numbered, block, only_hits=True))
     merged = passes.groupBy("row", "doc_id", "n_words").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
