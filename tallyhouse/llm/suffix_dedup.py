@@ -17,7 +17,8 @@ one task: its strings are counted by their SHA-256 digests, by which whole texts
 partial aggregates. Nothing is known to have equal SHA-256 digests but equal strings.
 
 Empty cases: null and empty texts have no bytes and lose none; texts shorter than ``length``
-lose none. Repeated rows are copies of each other, so both lose all that is ``length`` bytes
+lose none; an empty table gives an empty result; very long texts are hashed in overlapping segments. Columns other than
+the id and the text are carried along in a struct or not read. Repeated rows are copies of each other, so both lose all that is ``length`` bytes
 or more. A null ``doc_id`` stays null.
 """
 

@@ -6,7 +6,8 @@ and their counts are appended. Content is normalised only as far as no count can
 text is the empty text.
 
 A group of copies of any size costs one encoded text: the copies are merged before the shuffle.
-Repeated rows stay repeated rows of the result.
+Repeated rows stay repeated rows of the result, a null ``doc_id`` stays null, very long texts are encoded whole, an
+empty table gives an empty result and an empty cache. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,9 +31,12 @@ def tokenizer_version(model_path: str) -> str:
 
 
 def read_cache(spark: SparkSession, cache_path: str) -> DataFrame:
+    """The cache; empty where there is none yet. One that cannot be read is an error, not an empty cache."""
     try:
         return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], CACHE_SCHEMA)
 
 

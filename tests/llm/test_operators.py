@@ -344,6 +344,8 @@ def example(tree, rng):
                 out += example(arg[-1], rng)
             case "MAX_REPEAT":
                 out += "".join(example(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 2))))
+            case "NOT_LITERAL":
+                out += "z"
             case "ASSERT":
                 pass
             case other:
@@ -405,3 +407,32 @@ def test_simhash_keeps_one_with_any_column_names(spark):
     assert left.columns == docs.columns
     assert sorted(map(tuple, left.where("doc_id IS NOT NULL").collect())) == [(1, "a b c d", 5, 6), (2, "x y z", 9, 1)]
     assert left.count() == 3
+
+
+@pytest.mark.parametrize("text,shouted", [
+    ("AB", 1), ("Ab", 0), ("A", 0), ("A1B!!", 1), ("ÄB C", 0), ("ÄBC", 1), ("AB\tCD ef GH", 3), ("ABc DEF,", 1), ("", 0), (None, 0),
+    ("Q" * 200_000 + "q", 0),
+])
+def test_shouted_words(spark, text, shouted):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert quality.judge(docs).first().n_shouted == shouted
+
+
+def test_random_rules_by_trie_and_by_join(spark):
+    """Rules with equal texts, ties in length, many ends at one place, and hosts below others."""
+    import random
+
+    rng = random.Random(4)
+    hosts = ["a.b", "b", "c.a.b", "x.b", "net", "a.net"]
+    path = lambda: "/" + "/".join("".join(rng.choice("ab") for _ in range(rng.randint(0, 3))) for _ in range(rng.randint(0, 2)))
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts), path() + rng.choice(["", "a", "ab", "/"])) for _ in range(250)]
+    urls = [(i, f"http://{rng.choice(['', 'w.', 'c.'])}{rng.choice(hosts)}{path()}{rng.choice(['', '?q', 'abb'])}") for i in range(600)]
+    pages = spark.createDataFrame([*urls, (None, None), (7, "no")], "page_id long, url string")
+    plain = Counter()
+    for i, url in pages.collect():
+        host, place, _, _ = brute.verdict(url)
+        fit = [r for r in map(url_filter.Rule._make, rules) if (host == r.host or host.endswith("." + r.host)) and place.startswith(r.path)]
+        won = max(fit, key=lambda r: r.rank, default=None)
+        plain[i, host, place, won and won.text, won.verdict if won else "allow"] += 1
+    assert rows(url_filter.filter_urls(pages, rules)) == plain
+    assert rows(url_filter.filter_urls(pages, rules, max_broadcast=10)) == plain
