@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import types as T
 
 from tallyhouse.plans import monitoring, pipeline
-from tallyhouse.session import build_session, measured_bytes, sizing
+from tallyhouse.session import build_session, measured_bytes, remove_scratch, sizing
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -71,6 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     for name in _SHOWN:
         _show(name, done.results[name])
     print(f"\nAll {len(done.results)} results: {args.out_dir}/run_results")
+    remove_scratch(spark)
     return 0
 
 

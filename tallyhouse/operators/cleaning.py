@@ -124,23 +124,32 @@ def _stats(totals: DataFrame) -> DataFrame:
 
 
 def extraction_summary(staged: DataFrame) -> DataFrame:
-    """One row over the staging table: size, date range, distinct members, last load.
+    """One row over the staging table, which is read once: size, date range, distinct members, last load.
 
-    Each distinct count is its own aggregate over one column, so a scan is
-    never multiplied by the number of distinct counts.
+    A row gives one entry per member column, and tasks merge equal members before they are shuffled. The customer
+    entries, of which each row has one, also carry what is counted over rows.
     """
-    totals = staged.agg(
-        F.count("*").alias("total_rows"),
-        F.min("invoice_date").alias("earliest_date"),
-        F.max("invoice_date").alias("latest_date"),
-        F.max("created_at").alias("last_load_time"),
+    members = {"customer_id": "unique_customers", "stock_code": "unique_products", "country": "unique_countries"}
+    entries = F.array(
+        *[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("member")) for c in members]
     )
-    members = [
-        staged.agg(F.count_distinct(column).alias(name))
-        for column, name in (
-            ("customer_id", "unique_customers"),
-            ("stock_code", "unique_products"),
-            ("country", "unique_countries"),
+    merged = (
+        staged.select(F.inline(entries), "invoice_date", "created_at")
+        .groupBy("kind", "member")
+        .agg(
+            F.count("*").alias("rows"),
+            F.min("invoice_date").alias("earliest"),
+            F.max("invoice_date").alias("latest"),
+            F.max("created_at").alias("loaded"),
         )
-    ]
-    return side_by_side(totals, *members)
+    )
+    return merged.agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == "customer_id", F.col("rows"))), F.lit(0)).alias("total_rows"),
+        F.min("earliest").alias("earliest_date"),
+        F.max("latest").alias("latest_date"),
+        F.max("loaded").alias("last_load_time"),
+        *[
+            F.count_if((F.col("kind") == column) & F.col("member").isNotNull()).alias(name)
+            for column, name in members.items()
+        ],
+    )

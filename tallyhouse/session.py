@@ -75,9 +75,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables go, below the shared folder."""
+    return f"{shared_folder(spark)}/tallyhouse/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Unused path below the shared folder."""
-    return f"{shared_folder(spark)}/tallyhouse/{label}-{uuid.uuid4().hex}"
+    """Unused path among this application's intermediate tables."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Remove this application's intermediate tables, once nothing reads them any more; false if there were none.
+
+    Frames that read them, as those a run returns, cannot be read afterwards; written tables and reports stay.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(folder) and files.delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

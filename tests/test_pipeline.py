@@ -74,11 +74,14 @@ def test_clean_up_trouble_does_not_fail_the_run(spark, tmp_path, monkeypatch):
     assert done.retained is None
 
 
-def test_command_line(spark, tmp_path, capsys):
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    # The other tests of this session still need their intermediate tables.
+    removed = []
+    monkeypatch.setattr(command, "remove_scratch", removed.append)
     land(spark, tmp_path / "in", fmt="csv")
     common = ["--format", "csv", "--as-of", "2010-04-02T00:00:00"]
     assert command.main([str(tmp_path / "in"), str(tmp_path / "out"), *common]) == 0
     printed = capsys.readouterr().out
-    assert "outlier_days" in printed and "best_country" in printed
+    assert "outlier_days" in printed and "best_country" in printed and removed == [spark]
     land(spark, tmp_path / "bad", country=None, fmt="csv")
     assert command.main([str(tmp_path / "bad"), str(tmp_path / "out2"), *common]) == 1

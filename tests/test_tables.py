@@ -160,6 +160,25 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert all(named in path for path in df.inputFiles())
 
 
+def test_scratch_is_removed(spark, monkeypatch):
+    class Other:
+        """The same session as another application."""
+
+        conf = spark.conf
+
+        class sparkContext:
+            applicationId, master = "some-other-app", spark.sparkContext.master
+            _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+            getCheckpointDir = spark.sparkContext.getCheckpointDir
+
+    assert not session.remove_scratch(Other)
+    path, mine = session.new_folder(Other, "x"), session.materialise(spark.range(3), "mine")
+    spark.range(3).write.parquet(path)
+    assert session.remove_scratch(Other) and mine.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     class Context:
         master = "spark://somewhere:7077"
