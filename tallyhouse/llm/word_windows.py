@@ -1,10 +1,11 @@
 """Repeated word windows by level-wise doubling, at most one entry per window and task sent on.
 
-A level looks for windows that occur in more than one document. The first level has windows of
-half the final length, rounded up, and of those inside a final window only the one with
-the least hash; equal final windows choose the same. Only final windows around repeated halves
-are candidates of the next level, which is the final length: a longer window covers no
-word that its parts do not, so there is nothing left to extend.
+A level looks for windows that occur in more than one document. Each level's windows are half as long as the next
+one's, rounded up, and of those inside a window of the next level only the one with the least hash stands
+for it; equal windows choose the same. Only windows around repeated ones of the level before are candidates, and
+doubling ends when no document has any, or at the final length: a longer window covers no word that its
+parts do not. No level but a half is shorter than ``FIRST`` words, since nearly all such windows repeat by chance:
+for 13 words the levels are 7 and 13, for 50 they are 7, 13, 25 and 50.
 
 Every task first settles what it can tell from its own documents and sends one entry per window.
 So a window that a third of all documents share costs each task one entry.
@@ -21,6 +22,7 @@ repeat a ``doc_id`` are not smaller than each other; each is cut by its own text
 from __future__ import annotations
 
 import hashlib
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -32,10 +34,13 @@ WINDOW = 13
 # Entries a task sorts at once.
 CHUNK = 1_000_000
 # Entries of a bucket, and how many bytes of text a word has at least on average.
+FIRST = 7
 BUCKET_ENTRIES, BYTES_PER_WORD = 500_000, 4
 MAX_CACHED_WORDS = 200_000
 _BASES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 _MIX = np.uint64(0x165667B19E3779F9)
+# No window stands; a window with this hash is never looked at, which is as likely as two equal hashes.
+NONE = np.uint64((1 << 64) - 1)
 
 SENT = "bucket long, numbers binary"
 
@@ -70,14 +75,23 @@ class Hasher:
         value = (value ^ (value >> np.uint64(31))) * _MIX
         return value ^ (value >> np.uint64(29))
 
-    def halves(self, hashes: np.ndarray) -> np.ndarray:
-        """Hash of the standing half window of every final window, by start."""
-        low = self.windows(hashes[0], self.half, _BASES[0])
-        reach, width = self.window - self.half + 1, 1
+    def standing(self, hashes: np.ndarray, size: int, within: int, below: int | None = None,
+                 known: np.ndarray | None = None) -> np.ndarray:
+        """Hash of the ``size``-word window that stands for every window of ``within`` words, by start.
+
+        With ``below`` only those stand whose own standing window of that size is among ``known``; ``NONE`` where none does.
+        """
+        low = self.windows(hashes[0], size, _BASES[0])
+        if below is not None:
+            low = np.where(np.isin(self.standing(hashes, below, size), known), low, NONE)
+        reach, width = within - size + 1, 1
         while 2 * width <= reach:
             low, width = np.minimum(low[:-width], low[width:]), 2 * width
         return np.minimum(low[: len(low) - (reach - width)], low[reach - width :]) if width < reach else low
 
+    def halves(self, hashes: np.ndarray) -> np.ndarray:
+        return self.standing(hashes, self.half, self.window)
+
     def finals(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.windows(hashes[0], self.window, _BASES[0]), self.windows(hashes[1], self.window, _BASES[1])
 
@@ -152,8 +166,18 @@ def marked(docs: DataFrame) -> DataFrame:
     return docs.join(several, "doc_id", "left").select("doc_id", "text", mark.alias("mark"))
 
 
-def repeated_halves(docs: DataFrame, window: int, buckets: int) -> DataFrame:
-    """``(doc_id, mark, hash)``: standing half windows that also stand in another document.
+def levels(window: int) -> list[int]:
+    """Window lengths of the levels, each half of the next."""
+    out = [-(-window // 2), window]
+    while out[0] > FIRST:
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
+def repeated_windows(docs: DataFrame, size: int, within: int, buckets: int, below: int | None = None) -> DataFrame:
+    """``(doc_id, mark, hash)``: standing windows of ``size`` words that also stand in another document.
+
+    After the first level ``docs`` has ``hashes``, the repeated windows of ``below`` words.
 
     Of texts with one ``doc_id`` in one task, those that share a window pass too; the next level
     compares the documents.
@@ -174,18 +198,20 @@ def repeated_halves(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             yield from _send(_spread(own[:, 1] ^ own[:, 2]), np.c_[own, np.full(len(own), 2, dtype=np.uint64)], buckets)
 
     def run(batches):
-        hasher, held, size = Hasher(window), [], 0
+        hasher, held, entries = Hasher(within), [], 0
         for b in batches:
-            for doc_id, mark, text in zip(b["doc_id"], b["mark"], b["text"]):
-                found = np.unique(hasher.halves(hasher.words(text)))
+            for doc_id, mark, text, known in zip(b["doc_id"], b["mark"], b["text"], b.get("hashes", repeat(None))):
+                known = None if below is None else np.array(known, dtype=np.int64).view(np.uint64)
+                found = np.unique(hasher.standing(hasher.words(text), size, within, below, known))
+                found = found[found != NONE]
                 if not len(found):
                     continue
                 row = np.r_[_ordered(np.array([doc_id])), np.array([mark], dtype=np.int64).view(np.uint64)]
                 held.append(np.c_[found, np.broadcast_to(row, (len(found), 2))])
-                size += len(found)
-                if size > CHUNK:
+                entries += len(found)
+                if entries > CHUNK:
                     yield dict(zip(("bucket", "numbers"), zip(*settle(held))))
-                    held, size = [], 0
+                    held, entries = [], 0
         if held:
             yield dict(zip(("bucket", "numbers"), zip(*settle(held))))
 
@@ -296,8 +322,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     ordered, buckets = marked(named.where("doc_id IS NOT NULL")), _buckets(named)
     key = ["doc_id", "mark"]
-    halves = repeated_halves(ordered, window, buckets).groupBy(*key).agg(F.collect_set("hash").alias("hashes"))
-    runs = later_windows(ordered.join(halves, key), window, buckets)
+    lengths, candidates = levels(window), ordered
+    for below, size, within in zip([None, *lengths], lengths, lengths[1:]):
+        found = repeated_windows(candidates, size, within, buckets, below)
+        survivors = found.groupBy(*key).agg(F.collect_set("hash").alias("hashes"))
+        if within != window:
+            survivors = materialise(survivors, "survivors")
+        candidates = ordered.join(survivors, key)
+        if within != window and survivors.isEmpty():
+            break
+    runs = later_windows(candidates, window, buckets)
     found = runs.groupBy(*key).agg(F.collect_set(F.struct("start", "count")).alias("r"))
     # The same rows by the same key as in the join before, so Spark shuffles the texts once for both.
     joined = ordered.join(found, key, "left").select("doc_id", "text", "r.start", "r.count")

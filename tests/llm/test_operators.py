@@ -260,10 +260,17 @@ def test_word_windows(docs):
 
 def test_word_windows_in_small_chunks(odd, monkeypatch):
     monkeypatch.setattr(word_windows, "CHUNK", 500)
-    for window in (3, 13):
+    assert [word_windows.levels(n) for n in (1, 3, 13, 50)] == [[1, 1], [2, 3], [7, 13], [7, 13, 25, 50]]
+    for window in (3, 13, 30, 50):
         assert rows(word_windows.report(odd, window)) == Counter(brute.word_windows(texts(odd), window))
 
 
+def test_word_windows_end_when_none_survive(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(80))) for i in range(5)] + [(9, "w1x1 w1x2 w1x3")], "doc_id long, text string")
+    found = word_windows.report(docs, 50)
+    assert rows(found) == Counter(brute.word_windows(texts(docs), 50)) and found.agg({"n_removed": "max"}).first()[0] == 0
+
+
 def test_word_windows_cut_each_text_of_an_id_by_its_own(spark, monkeypatch):
     say = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
     shared, other = say("shared", 20), say("other", 18)
