@@ -500,6 +500,7 @@ UNION ALL SELECT 'StockCode', 'not_null', NULL, 'drop', count(*) FROM raw
   WHERE stock_code IS NULL""",
     "dedup_source": f"SELECT {CANONICAL}, {LINE} FROM clean",
     "dedup_fact": f"SELECT {STAGED} FROM day_first",
+    "dedup_fact_bucketed": f"SELECT {STAGED} FROM day_first",
     "cleaning_stats": "SELECT * FROM cleaning",
     "extraction_summary": """SELECT count(*) AS total_rows,
   CAST(min(invoice_date) AS VARCHAR) AS earliest_date,

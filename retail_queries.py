@@ -68,6 +68,13 @@ class Bench:
         cleaned = cleaning.clean(self.raw, POSITION)
         return tables.load_staging(cleaned, new_folder(self.spark, "staging"), AS_OF).frame
 
+    @cached_property
+    def bucketed(self) -> DataFrame:
+        """Staging dealt to buckets by invoice and stock code, so that grouping by both needs no shuffle."""
+        cleaned = cleaning.clean(self.raw, POSITION)
+        loaded = tables.load_staging(cleaned, new_folder(self.spark, "staging-bucketed"), AS_OF, buckets=8)
+        return loaded.frame.select(*STAGING.names)
+
     @cached_property
     def star(self) -> Star:
         return build_star(self.staging)
@@ -382,6 +389,7 @@ OPERATORS: dict[str, Callable[[Bench], DataFrame]] = {
         cleaning.drop_critical_nulls(b.raw), POSITION
     ),
     "dedup_fact": lambda b: facts.dedup_day(b.staged),
+    "dedup_fact_bucketed": lambda b: facts.dedup_day(b.bucketed),
     "cleaning_stats": lambda b: b.cleaned_stats,
     "extraction_summary": lambda b: cleaning.extraction_summary(b.staging),
     # star schema

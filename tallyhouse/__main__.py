@@ -25,6 +25,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="UTC time of the run")
     parser.add_argument("--keep-days", type=int, default=7, help="staging retention")
     parser.add_argument("--position", help="landed whole-number column that gives the source order")
+    parser.add_argument("--buckets", type=int, help="deal staging to so many buckets by invoice and stock code")
     return parser.parse_args(argv)
 
 
@@ -55,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
             extra=extra,
             report_fmt=args.report_format,
             keep_days=args.keep_days,
+            buckets=args.buckets,
         )
     except pipeline.GateFailed as failure:
         print(failure, file=sys.stderr)

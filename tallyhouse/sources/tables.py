@@ -17,11 +17,13 @@ from tallyhouse.operators.keys import with_dense_key
 from tallyhouse.schemas import CONTRACTS, DIMENSION_KEYS, NATURAL_KEYS
 from tallyhouse.session import together
 from tallyhouse.sources.landing import stage_projection
-from tallyhouse.sources.versions import NO_VALUE, VersionedTable, parts
+from tallyhouse.sources.versions import NO_VALUE, Buckets, VersionedTable, parts
 
 
 # Where refused rows lie, and the load day of staged rows; neither is a column of the tables.
 REFUSED, LOAD_DAY, LOAD_MONTH, REASONS = "refused", "load_day", "load_month", "reasons"
+# What staging is grouped by after the load: day-grain de-duplication and the duplicate checks.
+STAGING_BUCKETS = ("invoice", "stock_code")
 
 
 @dataclass(frozen=True)
@@ -63,16 +65,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return VersionedTable(spark, path).version() is not None
 
 
-def stage_rows(rows: DataFrame, path: str, unit: str = "day") -> VersionedTable:
-    """Replace the staging table with rows that carry ``created_at``, laid out by load day or month."""
+def stage_rows(
+    rows: DataFrame, path: str, unit: str = "day", buckets: int | None = None
+) -> VersionedTable:
+    """Replace the staging table with rows that carry ``created_at``, laid out by load day or month.
+
+    With ``buckets`` they are dealt by invoice and stock code: one shuffle in the load, none in what groups by both.
+    """
     table = VersionedTable(rows.sparkSession, path)
     period = F.trunc(F.col("created_at").cast("date"), "month") if unit == "month" else F.col("created_at").cast("date")
     split = _split(rows, "raw_retail_data").withColumn(LOAD_MONTH if unit == "month" else LOAD_DAY, period)
-    table.replace(split, (REFUSED, split.columns[-1]))
+    dealt = Buckets(buckets, STAGING_BUCKETS) if buckets else None
+    table.replace(split, (REFUSED, split.columns[-1]), dealt)
     return table
 
 
-def load_staging(cleaned: DataFrame, path: str, as_of: datetime) -> Loaded:
+def load_staging(
+    cleaned: DataFrame, path: str, as_of: datetime, buckets: int | None = None
+) -> Loaded:
     """Replace the staging table with the cleaned rows, stamped with a row id and load time.
 
     Rows that break the contract are kept apart. Until the load is complete, readers see the table as it was.
@@ -82,11 +92,11 @@ def load_staging(cleaned: DataFrame, path: str, as_of: datetime) -> Loaded:
         "*",
         ntz(as_of).alias("created_at"),
     )
-    return _loaded("raw_retail_data", stage_rows(rows, path), as_of)
+    return _loaded("raw_retail_data", stage_rows(rows, path, buckets=buckets), as_of)
 
 
 def load_observed(
-    raw: DataFrame, path: str, as_of: datetime, position: Sequence[str] = ()
+    raw: DataFrame, path: str, as_of: datetime, position: Sequence[str] = (), buckets: int | None = None
 ) -> tuple[Loaded, DataFrame]:
     """Clean and stage ``raw`` in one pass, and the cleaning statistics of the same pass.
 
@@ -98,7 +108,7 @@ def load_observed(
     seen, kept = Observation(), Observation()
     cleaned = clean(raw.observe(seen, *cleaning_counts()), position, copies="copies")
     staged = cleaned.observe(kept, F.count("*").alias("rows"), F.coalesce(F.sum("copies"), F.lit(0)).alias("copies"))
-    loaded = load_staging(staged.drop("copies"), path, as_of)
+    loaded = load_staging(staged.drop("copies"), path, as_of, buckets)
     counts, written = seen.get, kept.get
     committed = loaded.rows_loaded + loaded.refused.count()
     if written["rows"] == committed and written["copies"] == counts["kept_rows"]:
@@ -207,8 +217,9 @@ def apply_retention(
         split = []
     if stale or split:
         by = [name for name in (REFUSED, LOAD_DAY, LOAD_MONTH) if name in version.schema.names]
-        new = table.write(kept, by) if split else ()
-        table.commit(version.schema, [f for f in version.folders if f not in stale + split] + list(new))
+        new = table.write(kept, by, version.buckets) if split else ()
+        left = [f for f in version.folders if f not in stale + split] + list(new)
+        table.commit(version.schema, left, version.buckets)
         table.expire()
     left = accepted(table)
     return Retained(left, before - left.count())

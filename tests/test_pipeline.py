@@ -29,13 +29,14 @@ def land(spark, folder, country="UK", fmt="parquet"):
     writer.option("header", True).format(fmt).save(str(folder))
 
 
-def test_full_run(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_full_run(spark, tmp_path, monkeypatch, buckets):
     def again(*args):
         raise AssertionError("the landing is read a second time")
 
     monkeypatch.setattr(tables, "cleaning_stats", again)
     land(spark, tmp_path / "in")
-    done = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), AS_OF)
+    done = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), AS_OF, buckets=buckets)
     assert frames.one(done.gate)["overall_status"] == "PASS"
     assert done.results["Load_Warnings"].count() == 0
     summary = frames.one(done.results["Run_Summary"])

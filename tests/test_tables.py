@@ -316,3 +316,42 @@ def test_observed_counts_equal_counted_ones(spark, tmp_path, monkeypatch):
 
 
 expected_names = ("initial_rows", "kept_rows", "invalid_price_count", "high_quantity_count", "return_count")
+
+
+def test_buckets_survive_retention_and_are_not_used_when_uneven(spark, tmp_path, monkeypatch):
+    stamps = [datetime(2010, 2, 9), datetime(2010, 2, 10, 11), datetime(2010, 2, 10, 13), datetime(2010, 3, 1), None]
+    rows = [(f"i{n % 7}", f"s{n % 5}", n, stamps[n % 5]) for n in range(200)]
+    staged = spark.createDataFrame(rows, "invoice string, stock_code string, n int, created_at timestamp_ntz")
+    staged = staged.withColumn("invoice", F.when(F.col("n") == 199, F.repeat(F.lit("9"), F.lit(21))).otherwise(F.col("invoice")))
+    seen = lambda df: sorted(r.n for r in df.collect())
+    grouped = lambda df: df.groupBy("invoice", "stock_code").count()._jdf.queryExecution().executedPlan().toString()
+    path = str(tmp_path / "it's staged")
+    table = tables.stage_rows(staged, path, buckets=4)
+    assert table.version().buckets is not None
+    old = tables.accepted(table)
+    assert "Exchange" not in grouped(old)
+    assert seen(old) == list(range(199)) and seen(tables.quarantine(table)) == [199]
+    # The load day of the limit is written again, in buckets too; rows without a stamp stay.
+    kept = tables.apply_retention(spark, path, datetime(2010, 2, 17, 12))
+    left = [n for n in range(199) if n % 5 not in (0, 1)]
+    assert seen(kept.frame) == left and kept.rows_deleted == 199 - len(left)
+    assert "Exchange" not in grouped(kept.frame)
+    assert seen(old) == list(range(199))
+    # Another session knows the table by its list of folders alone.
+    other = spark.newSession()
+    again = tables.accepted(VersionedTable(other, path))
+    assert seen(again) == left
+    assert len(spark.catalog.listTables(pattern="tallyhouse_*")) > 0
+    # Replaced twice, the first versions and their catalog entries go.
+    gone = table._entries() + "1_*"
+    assert spark.catalog.listTables(pattern=gone)
+    monkeypatch.setattr("tallyhouse.sources.versions.LARGE_BUCKET", 0)
+    uneven = staged.withColumn("invoice", F.lit("i")).withColumn("stock_code", F.lit("s"))
+    table = tables.stage_rows(uneven, path, buckets=16)
+    table.expire()
+    assert table.version().buckets is None and "Exchange" in grouped(tables.accepted(table))
+    assert seen(tables.accepted(table)) == list(range(200))
+    assert not spark.catalog.listTables(pattern=gone)
+    # An empty load has no buckets, and no rows.
+    table = tables.stage_rows(staged.limit(0), path, buckets=4)
+    assert tables.accepted(table).count() == 0
