@@ -215,16 +215,18 @@ def overall_summary(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
 
     Surrogate keys are dense, so distinct ones are counted by bitmaps: a fact row gives one entry for its day,
     which also carries the amounts, and one each for its customer and its product, and tasks merge the bits of
-    each stretch of keys before they are shuffled. What is left is one row per day and per stretch.
+    64 neighbouring keys in one number before they are shuffled. Numbers as buffers let Spark merge them in a hash
+    table, which holds one entry per day and per 64 keys; bitmaps in binary would make it sort every entry. What is
+    left is a row per day and per 64 keys.
     """
     is_day = F.col("kind") == "day"
     entries = F.array(
         *[
             F.struct(
                 F.lit(kind).alias("kind"),
-                # A day is a group of its own; other keys share the bitmap of their stretch.
-                (F.col(key) if kind == "day" else F.bitmap_bucket_number(key)).alias("part"),
-                F.bitmap_bit_position(key).alias("bit"),
+                # A day is a group of its own; other keys share the bitmap of their neighbours.
+                (F.col(key) if kind == "day" else F.shiftright(key, 6)).alias("part"),
+                F.col(key).bitwiseAND(63).cast("int").alias("bit"),
             )
             for kind, key in (("day", "time_key"), ("customer", "customer_key"), ("product", "product_key"))
         ]
@@ -233,7 +235,7 @@ def overall_summary(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
         fact.select(F.inline(entries), sold().alias("sold"), sent_back().alias("sent_back"), "is_return")
         .groupBy("kind", "part")
         .agg(
-            F.bitmap_construct_agg("bit").alias("bits"),
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits"),
             F.count_if(is_day).alias("rows"),
             F.count_if(is_day & F.col("is_return")).alias("returned"),
             F.sum(F.when(is_day, F.col("sold"))).alias("sold"),
@@ -242,7 +244,7 @@ def overall_summary(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     )
     days = dim_time.select(F.lit("day").alias("kind"), F.col("time_key").alias("part"), "date_value")
     members = lambda kind: _or_zero(
-        F.sum(F.when(F.col("kind") == kind, F.bitmap_count("bits")))
+        F.sum(F.when(F.col("kind") == kind, F.bit_count("bits")))
     )
     return merged.join(days, ["kind", "part"], "left").agg(
         F.min("date_value").alias("min_date"),
