@@ -1,8 +1,7 @@
 """Alignment of two tokenizers' ids over the same bytes, and how often their ids stand together.
 
-Both id lists are turned into cumulative byte ends, each kept as a dictionary from end to index. The
-intersection of the two key sets holds the offsets where tokens of both end; sorted, these keys slice
-both id lists into groups, and the links of a group are all its pairs of an id of one and an id of the
+Both id lists are turned into cumulative byte ends, which rise. Each end of one is looked up among the ends of
+the other; those found are the offsets where tokens of both end. They slice both id lists into groups, and the links of a group are all its pairs of an id of one and an id of the
 other tokenizer. A pair's count is the number of documents that hold it linked.
 
 Documents are aligned where they are read, in blocks of a bounded number of bytes. A block is one
@@ -22,7 +21,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from itertools import accumulate
 
 import numpy as np
 from pyspark import TaskContext
@@ -45,6 +43,9 @@ RESULT = (
 GROUPS = "doc_id long, a_ids ints, b_ids ints, a_ends ints, b_ends ints"
 
 
+_NO_TOKENS = (np.zeros(0, dtype=np.int64),) * 4
+
+
 class Aligner:
     """Encodes a text with both tokenizers and cuts the ids into groups.
 
@@ -63,33 +64,36 @@ class Aligner:
         self.a_bytes = [bytes(printed[c] for c in n) if n and all(c in printed for c in n) else None for n in names]
         self.names = [str(i) for i in range(max(len(self.a_bytes), self.b.get_piece_size()))]
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.a_sizes = np.array([len(x or b"") for x in self.a_bytes], dtype=np.int64)
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def groups(self, text: str | None) -> tuple[list[int], list[int], list[int], list[int]]:
+    def groups(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Both id lists, and where their groups end in each; all empty for a text without tokens."""
         whole = (" " + (text or "")).encode("utf-8", "replace")
         if len(whole) == 1:
-            return [], [], [], []
+            return _NO_TOKENS
         a, b = self.a.ids(" " + text), self.b.encode(text, num_threads=1)
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if None in a_parts or b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-            return [], [], [], []
-        a_at = dict(zip(accumulate(map(len, a_parts)), range(1, len(a) + 1)))
-        b_at = dict(zip(accumulate(map(len, b_parts)), range(1, len(b) + 1)))
-        # Ends were put in from first to last, so the common keys come out sorted.
-        shared = [end for end in a_at if end in b_at]
-        return a, b, [a_at[end] for end in shared], [b_at[end] for end in shared]
-
-    def describe(self, a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> str:
+            return _NO_TOKENS
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        # No token is empty, so ends rise, and each end of A is looked up among those of B.
+        a_at, b_at = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        place = np.searchsorted(b_at, a_at)
+        shared = np.flatnonzero(b_at[place] == a_at)
+        return a, b, shared + 1, place[shared] + 1
+
+    def describe(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-        out, i, j = [], 0, 0
-        a, b = [self.names[x] for x in a], [self.names[x] for x in b]
-        for k, m in zip(a_ends, b_ends):
+        out, i, j, names = [], 0, 0, self.names
+        a, b = [names[x] for x in a.tolist()], [names[x] for x in b.tolist()]
+        for k, m in zip(a_ends.tolist(), b_ends.tolist()):
             left = a[i] if k - i == 1 else ",".join(a[i:k])
-            out.append(left + "|" + (b[j] if m - j == 1 else ",".join(b[j:m])))
+            out.append(f"{left}|{b[j]}" if m - j == 1 else f"{left}|{','.join(b[j:m])}")
             i, j = k, m
         return ";".join(out)
 
@@ -104,32 +108,40 @@ def _printed_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def link_pairs(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def link_pairs(a, b, a_ends, b_ends) -> tuple[np.ndarray, np.ndarray]:
     """The document's distinct linked pairs, packed as ``a << 32 | b``, and the links of each."""
-    ids_a, ids_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-    ends_a, ends_b = np.array(a_ends, dtype=np.int64), np.array(b_ends, dtype=np.int64)
+    ids_a, ids_b, ends_a, ends_b = (np.asarray(x, dtype=np.int64) for x in (a, b, a_ends, b_ends))
     width_a, width_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
     links = width_a * width_b
     listed = links <= LISTED_LINKS
     n = links[listed]
     nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     wide = np.repeat(width_b[listed], n)
-    at_a = np.repeat((ends_a - width_a)[listed], n) + nth // wide
-    at_b = np.repeat((ends_b - width_b)[listed], n) + nth % wide
-    keys, times = [ids_a[at_a] << 32 | ids_b[at_b]], [np.ones(len(nth), dtype=np.int64)]
+    row, column = np.divmod(nth, wide)
+    at_a = np.repeat((ends_a - width_a)[listed], n) + row
+    at_b = np.repeat((ends_b - width_b)[listed], n) + column
+    # Listed links count one each, so sorting the keys alone tells how often each occurs.
+    found = np.sort(ids_a[at_a] << 32 | ids_b[at_b])
+    first = _first(found)
+    keys, times = [found[first]], [np.diff(first, append=len(found))]
     for g in np.flatnonzero(~listed):
         # Ids that repeat in a long group are multiplied, not listed, so it stays small.
         x, nx = np.unique(ids_a[ends_a[g] - width_a[g] : ends_a[g]], return_counts=True)
         y, ny = np.unique(ids_b[ends_b[g] - width_b[g] : ends_b[g]], return_counts=True)
         keys.append((x[:, None] << 32 | y[None, :]).ravel())
         times.append((nx[:, None] * ny[None, :]).ravel())
-    return _total(np.concatenate(keys), np.concatenate(times))
+    return _total(np.concatenate(keys), np.concatenate(times)) if len(keys) > 1 else (keys[0], times[0])
+
+
+def _first(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array begins."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, dtype=np.int64)
 
 
 def _total(keys: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, amounts = keys[order], amounts[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
+    first = _first(keys)
     return keys[first], np.add.reduceat(amounts, first) if len(keys) else amounts
 
 
@@ -141,7 +153,7 @@ def align(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_col: str
         aligner = Aligner(a_json, a_ranks, b_model)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                a, b, a_ends, b_ends = aligner.groups(text)
+                a, b, a_ends, b_ends = (x.tolist() for x in aligner.groups(text))
                 yield {"doc_id": [doc_id], "a_ids": [a], "b_ids": [b], "a_ends": [a_ends], "b_ends": [b_ends]}
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -167,7 +179,7 @@ def align_blocks(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_co
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 cut = aligner.groups(text)
                 pairs, times = link_pairs(*cut)
-                digest = hashlib.sha256(aligner.describe(*cut).encode()).hexdigest() if cut[0] else ""
+                digest = hashlib.sha256(aligner.describe(*cut).encode()).hexdigest() if len(cut[0]) else ""
                 rows.append((doc_id, len(cut[0]), len(cut[1]), len(cut[2]), int(times.sum()), digest, pairs, times))
                 size += len(text or "") + 64
                 if size >= block_bytes:
