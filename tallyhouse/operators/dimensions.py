@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.schemas import STAGING
+from tallyhouse.session import materialise
 
 # Monday is day 1, the weekend is Saturday and Sunday.
 WEEKEND = (6, 7)
@@ -61,16 +62,35 @@ def product_rows(staged: DataFrame) -> DataFrame:
 def customer_rows(staged: DataFrame, countries: DataFrame) -> DataFrame:
     """One row per customer with the country (key) of the customer's first row.
 
-    Only what decides the first row is carried: the date, then the other staged columns.
+    Rows are ordered by date (none comes first), then by the other staged columns. Only customers with several
+    countries on their first date need the other columns: the earliest date per customer and country is merged in
+    a hash table and shuffles narrow, and the rows of the few others are read again. Both steps are written, so
+    that Spark knows how few they are before it joins.
     """
     tie_break = [
         name for name in STAGING.names if name not in ("invoice_date", "customer_id", "country")
     ]
-    first = F.min_by("country", F.struct("invoice_date", *tie_break, "country"))
-    firsts = (
-        staged.where(F.col("customer_id").isNotNull())
+    usable = staged.where(F.col("customer_id").isNotNull())
+    undated = F.col("undated")
+    per_country = usable.groupBy("customer_id", "country").agg(
+        F.bool_or(F.col("invoice_date").isNull()).alias("undated"), F.min("invoice_date").alias("first")
+    )
+    # At most one entry per country, so the lists stay short.
+    entry = F.struct((~undated).alias("dated"), F.when(~undated, F.col("first")).alias("first"), "country")
+    found = per_country.groupBy("customer_id").agg(F.sort_array(F.collect_list(entry)).alias("found"))
+    best, next_one = F.col("found")[0], F.get("found", F.lit(1))
+    tied = (F.size("found") > 1) & (best["dated"] == next_one["dated"]) & best["first"].eqNullSafe(next_one["first"])
+    firsts = materialise(
+        found.select("customer_id", best["country"].alias("country_name"), best["first"].alias("first"), tied.alias("tied")),
+        "customer-firsts",
+    )
+    several = materialise(firsts.where("tied").select("customer_id", "first"), "customer-ties")
+    decided = (
+        usable.join(several, "customer_id")
+        .where(F.col("invoice_date").eqNullSafe(F.col("first")))
         .groupBy("customer_id")
-        .agg(first.alias("country_name"))
+        .agg(F.min_by("country", F.struct(*tie_break, "country")).alias("country_name"))
     )
+    told = firsts.where("NOT tied").select("customer_id", "country_name").unionByName(decided)
     known = countries.select("country_name", "country_key")
-    return firsts.join(known, "country_name", "left").select("customer_id", "country_key")
+    return told.join(known, "country_name", "left").select("customer_id", "country_key")

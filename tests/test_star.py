@@ -152,3 +152,26 @@ def test_hot_keys_give_whole_results(spark):
     uses = Counter(f"t{i % 300}" for i in range(20_000))
     best = min(uses, key=lambda t: (-uses[t], t))
     assert star.product.where("stock_code = 'HOT'").first()["description"] == best
+
+
+def test_customers_ties_on_the_first_date(spark):
+    """Several countries on the first date: the other columns decide; rows without a date come first."""
+    later = DAY + timedelta(days=1)
+    rows = [
+        ("2", "A", "x", 1, DAY, 1, 1, "France"), ("1", "B", "x", 1, DAY, 1, 1, "Spain"), ("0", "B", "x", 1, later, 1, 1, "Italy"),
+        ("1", "A", "x", 1, DAY, 1, 2, "Spain"), ("3", "A", "x", 1, DAY, 1, 2, "Spain"),
+        ("5", "A", "x", 1, DAY, 1, 3, "Spain"), ("6", "A", "x", 1, None, 1, 3, "Italy"), ("7", "A", "x", 1, None, 1, 3, "France"),
+        ("1", "A", "x", 1, DAY, 1, 4, None), ("2", "A", "x", 1, DAY, 1, 4, "Spain"), ("1", "A", "x", 1, later, 1, 5, "Italy"),
+        ("1", "A", "x", 1, later, 1, None, "Italy"),
+    ]
+    countries = spark.createDataFrame([("France", 1), ("Italy", 2), ("Spain", 3)], "country_name string, country_key long")
+    found = customer_rows(frames.staged(spark, rows), countries)
+    assert {r.customer_id: r.country_key for r in found.collect()} == {1: 3, 2: 3, 3: 2, 4: None, 5: 2}
+
+
+def test_only_tied_customers_aggregate_whole_rows(spark):
+    """The aggregate that carries the other columns reads what a join with the ties leaves."""
+    rows = [("1", "A", "x", 1, DAY, 1, n, "Spain") for n in range(3)]
+    countries = spark.createDataFrame([("Spain", 3)], "country_name string, country_key long")
+    text = customer_rows(frames.staged(spark, rows), countries)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in text[text.index("partial_min_by") :]
