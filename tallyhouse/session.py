@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Rows that a task sorts before a shuffle take several times their size in Parquet: such tasks read this part of a split.
+SMALL_SPLIT = 4
+
 _local_folders: dict[str, str] = {}
+_split_lock, _split_users, _split_before = threading.Lock(), Counter(), {}
 
 
 def build_session(app_name: str = "tallyhouse", **settings: str) -> SparkSession:
@@ -52,6 +60,34 @@ def sizing(input_bytes: int) -> dict[str, str]:
     }
 
 
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Inside, scans of ``spark`` read splits of a quarter of the session's size; the setting is put back at the end.
+
+    For jobs that run inside and aggregate whole rows before a shuffle, which Spark sorts in memory: the task that
+    has a quarter of the rows keeps them there. Jobs may be nested and run together in threads.
+    """
+    name, session = "spark.sql.files.maxPartitionBytes", id(spark._jsparkSession)
+    with _split_lock:
+        if not _split_users[session]:
+            _split_before[session] = spark.conf.get(name)
+            spark.conf.set(name, str(max(1, _bytes(_split_before[session]) // SMALL_SPLIT)))
+        _split_users[session] += 1
+    try:
+        yield
+    finally:
+        with _split_lock:
+            _split_users[session] -= 1
+            if not _split_users[session]:
+                spark.conf.set(name, _split_before.pop(session))
+
+
+def _bytes(size: str) -> int:
+    """A size setting such as ``134217728b`` or ``16m`` in bytes."""
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit if unit and unit != "b" else " ")
+
+
 def measured_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below ``path``, from the listing alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -15,7 +15,7 @@ from tallyhouse.operators.cleaning import clean, cleaning_counts, cleaning_stats
 from tallyhouse.operators.integrity import with_refusals
 from tallyhouse.operators.keys import with_dense_key
 from tallyhouse.schemas import CONTRACTS, DIMENSION_KEYS, NATURAL_KEYS
-from tallyhouse.session import together
+from tallyhouse.session import small_splits, together
 from tallyhouse.sources.landing import stage_projection
 from tallyhouse.sources.versions import NO_VALUE, Buckets, VersionedTable, parts
 
@@ -92,7 +92,9 @@ def load_staging(
         "*",
         ntz(as_of).alias("created_at"),
     )
-    return _loaded("raw_retail_data", stage_rows(rows, path, buckets=buckets), as_of)
+    with small_splits(rows.sparkSession):
+        table = stage_rows(rows, path, buckets=buckets)
+    return _loaded("raw_retail_data", table, as_of)
 
 
 def load_observed(
@@ -162,7 +164,8 @@ def load_fact(
         rows = rows.withColumn("created_at", ntz(as_of))
     months = partial(target.replace_parts, on=("year", "month"))
     change = {"overwrite": target.replace, "append": target.append, "months": months}[mode]
-    change(rows, (REFUSED, "year", "month"))
+    with small_splits(fact.sparkSession):
+        change(rows, (REFUSED, "year", "month"))
     return _loaded("fact_sales", target, as_of, before if mode == "append" else 0)
 
 

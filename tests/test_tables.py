@@ -355,3 +355,23 @@ def test_buckets_survive_retention_and_are_not_used_when_uneven(spark, tmp_path,
     # An empty load has no buckets, and no rows.
     table = tables.stage_rows(staged.limit(0), path, buckets=4)
     assert tables.accepted(table).count() == 0
+
+
+def test_loads_read_small_splits(spark, tmp_path):
+    """A load reads a quarter of the session's split per task, and leaves the setting as it was."""
+    settings = {"spark.sql.files.maxPartitionBytes": "64m", "spark.sql.files.minPartitionNum": "1"}
+    old = {name: spark.conf.get(name, None) for name in settings}
+    path = str(tmp_path / "landed")
+    rows = [(str(n), "A", "x", 1, frames.DAY, 1, n, "UK") for n in range(80)]
+    frames.landed(spark, rows).repartition(8).write.parquet(path)
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        given = landing.canonical_columns(landing.scan_raw(spark, path))
+        loaded = tables.load_staging(given, str(tmp_path / "staging"), frames.DAY)
+        assert given.select(F.spark_partition_id()).distinct().count() == 1
+        assert loaded.frame.select((F.col("id") - 1).bitwiseAND(-1 << 33)).distinct().count() > 1
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
