@@ -10,6 +10,8 @@ only the suffixes at such anchors are sorted, and only those whose substring rep
 * In sorted order anchors with one substring are neighbours. The merge gives their common
   prefixes, sorting the bytes before the anchors gives the other side, and both together
   tell which strings around the anchors are equal. All comparisons are of bytes.
+* A second, ``shorter`` length can be told in the same pass: anchors are chosen for it, their suffixes
+  reach far enough for ``length``, and every group is looked at for both. What repeats at it only is counted, not removed.
 
 Copies of a whole text are one text throughout. Suffixes with the same surroundings are merged
 before they are sent. A substring with more than ``hot`` distinct places is not gathered in
@@ -36,6 +38,8 @@ from tallyhouse.llm.suffix_merge import common_prefix, decode, front_code, merge
 from tallyhouse.session import materialise
 
 LENGTH = 400
+# Passages of more than 50 words have some 270 bytes or more, so one holds strings of this length.
+PASSAGE = 256
 # Bytes hashed at once in a task; longer texts are cut with an overlap.
 SEGMENT = 1 << 18
 # Suffixes of one sorted run, and about how many a bucket gathers.
@@ -44,6 +48,8 @@ RUN_ROWS, BUCKET_ROWS = 100_000, 20_000
 SMALL_GROUP = 12
 HOT = 100_000
 
+SPANS = "tid long, start long, end long, size long"
+
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 _EMPTY = hashlib.sha256(b"").hexdigest()
@@ -155,12 +161,13 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFram
     return map_batches(source, run, schema_of(columns))
 
 
-def send_runs(found: DataFrame, buckets: int, length: int) -> DataFrame:
-    """Sorted front-coded runs ``(bucket, meta, shared, rests, before)`` and settled strings (bucket -1).
+def send_runs(found: DataFrame, buckets: int, sizes: list[int]) -> DataFrame:
+    """Sorted front-coded runs ``(bucket, meta, shared, rests, before)`` and settled strings (buckets below 0).
 
     ``found`` has ``(tid, text, places)``, each place ``(at, hash, first, last)``. Suffixes with equal
     surroundings need no partner elsewhere: all their strings repeat, and one of them goes on.
     """
+    longest = max(sizes)
 
     def flush(run: dict):
         settled, kept = [], []
@@ -169,7 +176,7 @@ def send_runs(found: DataFrame, buckets: int, length: int) -> DataFrame:
             if len(owners) > 1:
                 settled += owners
         by_bucket = defaultdict(list)
-        for (tid, at, h, first, last), text, before in kept:
+        for (tid, at, h, first, last, _), text, before in kept:
             by_bucket[h % buckets].append((text, before, (tid, at, at - last, at - first)))
         out = {k: [] for k in ("bucket", "meta", "shared", "rests", "before")}
         for bucket, rows in by_bucket.items():
@@ -177,7 +184,9 @@ def send_runs(found: DataFrame, buckets: int, length: int) -> DataFrame:
             shared, rests = front_code(r[0] for r in rows)
             _put(out, bucket, [r[2] for r in rows], shared, rests, [r[1] for r in rows])
         if settled:
-            _put(out, -1, [(t, f, la - f + length, 0) for t, _, _, f, la in settled], [], [], [])
+            ends = ((t, f, min(la + size, n), size) for t, _, _, f, la, n in settled for size in sizes)
+            # Spread, as one bucket would be one task.
+            _put(out, -1 - settled[0][0] % buckets, [x for x in ends if x[2] - x[1] >= x[3]], [], [], [])
         return out
 
     def run(batches):
@@ -186,8 +195,8 @@ def send_runs(found: DataFrame, buckets: int, length: int) -> DataFrame:
             for tid, text, ats, hashes, firsts, lasts in zip(*(b[k] for k in ("tid", "text", "at", "hash", "first", "last"))):
                 data = text.encode("utf-8", "replace")
                 for at, h, first, last in zip(ats, hashes, firsts, lasts):
-                    key = h, data[at : last + length], data[first:at], first - at, last - at
-                    held.setdefault(key, []).append((tid, at, h, first, last))
+                    key = h, data[at : last + longest], data[first:at], first - at, last - at
+                    held.setdefault(key, []).append((tid, at, h, first, last, len(data)))
                 if len(held) >= RUN_ROWS:
                     yield flush(held)
                     held = {}
@@ -260,76 +269,81 @@ def repeated(group: list[tuple], shared: list[int], length: int):
             yield group[i][0], group[i][1] - until, group[i][1] - d + length
 
 
-def merge_buckets(runs: DataFrame, length: int) -> DataFrame:
-    """``(tid, start, end)`` of repeated bytes, from the runs of all buckets."""
-    half = length // 2
+def merge_buckets(runs: DataFrame, sizes: list[int]) -> DataFrame:
+    """``(tid, start, end, size)`` of bytes repeated by strings of each size, from the runs of all buckets.
+
+    Buckets below 0 hold spans that the run builders could already tell.
+    """
+    half = min(sizes) // 2
+
+    def spans(group: list[tuple], shared: list[int]):
+        if len(group) > 1:
+            for size in sizes:
+                for span in repeated(group, shared, size):
+                    yield *span, size
 
     def solve(rows: list[tuple]):
         group, shared = [], []
         for n, _, member in merge_runs([open_run(*r) for r in rows]):
             if n < half and group:
-                if len(group) > 1:
-                    yield from repeated(group, shared, length)
+                yield from spans(group, shared)
                 group, shared = [], []
             group.append(member)
             shared.append(n)
-        if len(group) > 1:
-            yield from repeated(group, shared, length)
+        yield from spans(group, shared)
 
     def run(batches):
         bucket, rows, out = None, [], []
         for b in batches:
             for k, *row in zip(*(b[c] for c in ("bucket", "meta", "shared", "rests", "before"))):
+                if k < 0:
+                    told = np.frombuffer(row[0], dtype=np.int64).reshape(-1, 4)
+                    yield dict(zip(("tid", "start", "end", "size"), told.T))
+                    continue
                 if k != bucket:
                     out += solve(rows) if rows else ()
                     bucket, rows = k, []
                 rows.append(row)
                 if len(out) > 50_000:
-                    yield dict(zip(("tid", "start", "end"), zip(*out)))
+                    yield dict(zip(("tid", "start", "end", "size"), zip(*out)))
                     out = []
         out += solve(rows) if rows else ()
         if out:
-            yield dict(zip(("tid", "start", "end"), zip(*out)))
+            yield dict(zip(("tid", "start", "end", "size"), zip(*out)))
 
-    return map_batches(runs, run, schema_of("tid long, start long, end long"))
+    return map_batches(runs, run, schema_of(SPANS))
 
 
-def settled_spans(runs: DataFrame) -> DataFrame:
-    """Spans that the run builders could already tell."""
-
-    def run(batches):
-        for b in batches:
-            for meta in b["meta"]:
-                rows = np.frombuffer(meta, dtype=np.int64).reshape(-1, 4)
-                yield {"tid": rows[:, 0], "start": rows[:, 1], "end": rows[:, 1] + rows[:, 2]}
-
-    return map_batches(runs.where("bucket = -1"), run, schema_of("tid long, start long, end long"))
-
-
-def hot_spans(found: DataFrame, length: int) -> DataFrame:
+def hot_spans(found: DataFrame, sizes: list[int]) -> DataFrame:
     """The same spans for very frequent substrings: count the strings around them by digest."""
 
     def run(batches):
         for b in batches:
             for tid, text, firsts, lasts in zip(*(b[k] for k in ("tid", "text", "first", "last"))):
                 data = text.encode("utf-8", "replace")
-                starts = [s for first, last in zip(firsts, lasts) for s in range(first, last + 1)]
-                keys = [hashlib.sha256(data[s : s + length]).digest() for s in starts]
-                yield {"tid": [tid] * len(starts), "start": starts, "key": keys}
+                for size in sizes:
+                    ends = [min(last, len(data) - size) + 1 for last in lasts]
+                    starts = [s for first, end in zip(firsts, ends) for s in range(first, end)]
+                    keys = [hashlib.sha256(data[s : s + size]).digest() for s in starts]
+                    yield {"tid": [tid] * len(starts), "start": starts, "size": [size] * len(starts), "key": keys}
 
-    windows = materialise(map_batches(found, run, schema_of("tid long, start long, key binary")), "hot-windows")
+    windows = materialise(map_batches(found, run, schema_of("tid long, start long, size long, key binary")), "hot-windows")
     # Written, so that both sides of the join are plain shuffles and Spark can split a hot string.
     again = materialise(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "hot-keys")
-    return windows.join(again, "key").select("tid", "start", (F.col("start") + length).alias("end"))
+    return windows.join(again, "key").select("tid", "start", (F.col("start") + F.col("size")).alias("end"), "size")
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                 hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(doc_id, digest, n_bytes, copies)`` and edited texts ``(digest, text, n_removed, n_spans, kept_sha256)``.
+                 hot: int = HOT, shorter: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(doc_id, digest, n_bytes, copies)`` and edited texts ``(digest, text, n_removed, n_spans, kept_sha256,
+    n_passage_bytes)``, the last for strings of ``shorter`` bytes, or else of ``length``.
 
     Texts without an entry in the second table lose nothing, or everything if they have copies.
     """
-    rows = materialise(sketch(docs, id_col, text_col, length), "sketch")
+    sizes = sorted({length, shorter or length})
+    if sizes[-1] > length:
+        raise ValueError("shorter must not exceed length")
+    rows = materialise(sketch(docs, id_col, text_col, sizes[0]), "sketch")
     once = rows.groupBy("digest").agg(
         F.count("*").alias("copies"), F.first(F.struct("at", "hash", "first", "last")).alias("a")
     )
@@ -353,21 +367,20 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         return bodies.join(per_text, "tid").select("tid", "text", "p.at", "p.hash", "p.first", "p.last")
 
-    runs = materialise(send_runs(with_places(F.col("n") <= hot), buckets, length), "runs")
-    ordered = runs.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket")
-    spans = merge_buckets(ordered, length).unionByName(settled_spans(runs))
-    spans = spans.unionByName(hot_spans(with_places(F.col("n") > hot), length))
+    runs = send_runs(with_places(F.col("n") <= hot), buckets, sizes)
+    ordered = runs.repartition("bucket").sortWithinPartitions("bucket")
+    spans = merge_buckets(ordered, sizes).unionByName(hot_spans(with_places(F.col("n") > hot), sizes))
 
-    per_text = spans.groupBy("tid").agg(F.collect_set(F.struct("start", "end")).alias("s"))
-    edited = _cut_texts(bodies.join(per_text, "tid").select("tid", "text", "s.start", "s.end"))
+    per_text = spans.groupBy("tid").agg(F.collect_set(F.struct("start", "end", "size")).alias("s"))
+    edited = _cut_texts(bodies.join(per_text, "tid").select("tid", "text", "s.start", "s.end", "s.size"), length)
     named = materialise(edited.join(texts.select("tid", "digest"), "tid"), "edited")
     copies = texts.select("digest", "copies")
     return rows.select("doc_id", "digest", "n_bytes").join(copies, "digest"), named
 
 
-def _union(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
+def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for a, b in sorted(zip(starts, ends)):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -397,36 +410,48 @@ def _whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[i
     return out
 
 
-def _cut_texts(found: DataFrame) -> DataFrame:
+def _cut_texts(found: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for b in batches:
             out = defaultdict(list)
-            for tid, text, starts, ends in zip(*(b[k] for k in ("tid", "text", "start", "end"))):
+            for tid, text, *places in zip(*(b[k] for k in ("tid", "text", "start", "end", "size"))):
                 data = text.encode("utf-8", "replace")
-                spans = _union(starts, ends)
+                by_size = defaultdict(list)
+                for start, end, size in zip(*places):
+                    by_size[size].append((start, end))
+                spans = _union(by_size[length])
+                passages = _union(by_size[min(by_size)])
                 out["tid"].append(tid)
                 out["text"].append(_without(data, _whole_characters(data, spans)).decode())
                 out["n_removed"].append(sum(e - s for s, e in spans))
                 out["n_spans"].append(len(spans))
                 out["kept_sha256"].append(hashlib.sha256(_without(data, spans)).hexdigest())
+                out["n_passage_bytes"].append(sum(e - s for s, e in passages))
             yield out
 
-    columns = "tid long, text string, n_removed long, n_spans long, kept_sha256 string"
+    columns = "tid long, text string, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long"
     return map_batches(found, run, schema_of(columns))
 
 
-def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` per row of ``docs``."""
-    rows, edited = find_repeats(docs, id_col, text_col, length, hot)
+def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT,
+           shorter: int | None = None) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` per row of ``docs``.
+
+    With ``shorter`` also ``n_passage_bytes``, the bytes covered by a string of that many bytes that also starts
+    anywhere else; the other columns do not depend on it.
+    """
+    rows, edited = find_repeats(docs, id_col, text_col, length, hot, shorter)
     joined = rows.join(edited.drop("text", "tid"), "digest", "left")
-    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    none = F.lit(0).cast("long")
+    copied = lambda size: (F.col("copies") > 1) & (F.col("n_bytes") >= size)
+    gone, none = copied(length), F.lit(0).cast("long")
+    passages = F.when(copied(shorter), F.col("n_bytes")).otherwise(F.coalesce("n_passage_bytes", none)) if shorter else none
     return joined.select(
         "doc_id",
         "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", none)).alias("n_removed"),
         F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", none)).alias("n_spans"),
         F.when(gone, F.lit(_EMPTY)).otherwise(F.coalesce("kept_sha256", "digest")).alias("kept_sha256"),
+        *([passages.alias("n_passage_bytes")] if shorter else []),
     )
 
 

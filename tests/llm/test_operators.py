@@ -239,6 +239,37 @@ def test_suffix_in_small_pieces(odd, monkeypatch):
         assert rows(suffix_dedup.report(odd, length=length)) == Counter(brute.suffix(texts(odd), length))
 
 
+@pytest.mark.parametrize(("length", "shorter", "hot", "small"), [(400, 256, 100_000, 12), (64, 30, 100_000, 1), (400, 256, 3, 12)])
+def test_suffix_with_shorter_passages(odd, length, shorter, hot, small, monkeypatch):
+    for name, value in (("SMALL_GROUP", small), ("SEGMENT", 1000), ("RUN_ROWS", 200), ("BUCKET_ROWS", 100)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    given = texts(odd)
+    wanted = [(*long, short[2]) for long, short in zip(brute.suffix(given, length), brute.suffix(given, shorter))]
+    assert rows(suffix_dedup.report(odd, length=length, hot=hot, shorter=shorter)) == Counter(wanted)
+
+
+def test_suffix_query_tells_passages_of_over_fifty_words(spark, tmp_path):
+    """Passages shorter than the removed strings show in their own column; what is removed is not changed by them."""
+    import random
+
+    from tallyhouse.llm import queries
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 6)))
+    say = lambda n: " ".join(word() for _ in range(n))
+    shared = [say(56) for _ in range(6)]
+    assert all(256 < len(p) < 400 for p in shared)
+    planted = [(2 * k + i, f"{say(40 + 9 * k)} {p} {say(30)}") for k, p in enumerate(shared) for i in (0, 1)]
+    clean = [(100 + k, say(80 + 11 * k)) for k in range(12)]
+    given = [*planted, *clean, (200, planted[0][1]), (201, planted[0][1]), (202, None), (203, None), (204, shared[0])]
+    spark.createDataFrame(given, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op7_suffix_array(spark, str(tmp_path))
+    assert found.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    passages = {r.doc_id: r.n_passage_bytes for r in found.collect()}
+    assert all(passages[d] >= 256 for d, _ in planted) and not any(passages[d] for d, _ in clean)
+    assert rows(found.select(found.columns[:5])) == Counter(brute.suffix(given))
+
+
 def test_suffix_text(docs):
     left = suffix_dedup.remove_repeats(docs)
     wanted = Counter()
