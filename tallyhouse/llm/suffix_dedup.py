@@ -44,6 +44,8 @@ PASSAGE = 256
 SEGMENT = 1 << 18
 # Suffixes of one sorted run, and about how many a bucket gathers.
 RUN_ROWS, BUCKET_ROWS = 100_000, 20_000
+# Spans of a settled string's row.
+TOLD_ROWS = 5_000
 # Groups up to this size are compared pair by pair, larger ones by classes.
 SMALL_GROUP = 12
 HOT = 100_000
@@ -185,8 +187,10 @@ def send_runs(found: DataFrame, buckets: int, sizes: list[int]) -> DataFrame:
             _put(out, bucket, [r[2] for r in rows], shared, rests, [r[1] for r in rows])
         if settled:
             ends = ((t, f, min(la + size, n), size) for t, _, _, f, la, n in settled for size in sizes)
-            # Spread, as one bucket would be one task.
-            _put(out, -1 - settled[0][0] % buckets, [x for x in ends if x[2] - x[1] >= x[3]], [], [], [])
+            told = [x for x in ends if x[2] - x[1] >= x[3]]
+            # Spread in small pieces, as one bucket would be one task.
+            for i in range(0, len(told), TOLD_ROWS):
+                _put(out, -1 - (told[i][0] + i) % buckets, told[i : i + TOLD_ROWS], [], [], [])
         return out
 
     def run(batches):

@@ -241,7 +241,7 @@ def test_suffix_in_small_pieces(odd, monkeypatch):
 
 @pytest.mark.parametrize(("length", "shorter", "hot", "small"), [(400, 256, 100_000, 12), (64, 30, 100_000, 1), (400, 256, 3, 12)])
 def test_suffix_with_shorter_passages(odd, length, shorter, hot, small, monkeypatch):
-    for name, value in (("SMALL_GROUP", small), ("SEGMENT", 1000), ("RUN_ROWS", 200), ("BUCKET_ROWS", 100)):
+    for name, value in (("SMALL_GROUP", small), ("SEGMENT", 1000), ("RUN_ROWS", 200), ("BUCKET_ROWS", 100), ("TOLD_ROWS", 3)):
         monkeypatch.setattr(suffix_dedup, name, value)
     given = texts(odd)
     wanted = [(*long, short[2]) for long, short in zip(brute.suffix(given, length), brute.suffix(given, shorter))]
