@@ -6,7 +6,9 @@ other tokenizer. A pair's count is the number of documents that hold it linked.
 
 Documents are aligned where they are read, in blocks of a bounded number of bytes. A block is one
 row: its documents' figures, its distinct pairs with the number of its documents that hold them, and per
-document the places of its pairs in that list. Only the distinct pairs of a block are shuffled: once
+document the places of its pairs in that list. Whoever writes, reads, sorts or passes on rows holds many of them, so
+blocks are of some 2 MB of text, places and links take as few bytes a number as the block's largest needs (about
+1 MB a row in all), row groups are small, and Python turns one block or a few documents at a time into its own values. Only the distinct pairs of a block are shuffled: once
 summed to counts over all documents, once to bring the counts back to the blocks. Nothing is
 broadcast, so the number of different pairs may grow with the documents.
 
@@ -21,6 +23,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark import TaskContext
@@ -31,7 +34,11 @@ from tallyhouse.llm.packing import Encoder
 from tallyhouse.session import materialise
 
 # Bytes of text after which a block is closed.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+# Documents that are Python values at once.
+DOCUMENTS = 64
+# Readers hold a row group at once. The writer looks at its size after so few rows, as they are large.
+_GROUPS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 4}
 # Links of a group that are listed one by one.
 LISTED_LINKS = 4096
 
@@ -98,6 +105,12 @@ class Aligner:
         return ";".join(out)
 
 
+@lru_cache(maxsize=1)
+def _aligner(a_json: str, a_ranks: str, b_model: str) -> Aligner:
+    """One per process: a worker that has a new one for each task keeps the memory of the old ones."""
+    return Aligner(a_json, a_ranks, b_model)
+
+
 def _printed_bytes() -> dict[str, int]:
     """Which character stands for which byte in a byte-level vocabulary.
 
@@ -145,19 +158,28 @@ def _total(keys: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(amounts, first) if len(keys) else amounts
 
 
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Numbers that are not negative, in as few bytes each as the largest needs."""
+    return numbers.astype(np.min_scalar_type(numbers.max(initial=0))).tobytes()
+
+
+def _widen(packed: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(packed, f"u{len(packed) // count}").astype(np.int64) if count else np.zeros(0, dtype=np.int64)
+
+
 def align(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """``(doc_id, a_ids, b_ids, a_ends, b_ends)``: the ids, and behind which of them each group ends."""
 
     def run(batches):
-        aligner = Aligner(a_json, a_ranks, b_model)
+        aligner = _aligner(a_json, a_ranks, b_model)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 a, b, a_ends, b_ends = (x.tolist() for x in aligner.groups(text))
                 yield {"doc_id": [doc_id], "a_ids": [a], "b_ids": [b], "a_ends": [a_ends], "b_ends": [b_ends]}
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(given, run, schema_of(GROUPS))
+    return map_batches(given, run, schema_of(GROUPS), DOCUMENTS)
 
 
 def align_blocks(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_col: str = "doc_id",
@@ -168,12 +190,12 @@ def align_blocks(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_co
         found, times = np.concatenate([r[6] for r in rows]), np.concatenate([r[7] for r in rows])
         pairs, place, docs_with = np.unique(found, return_inverse=True, return_counts=True)
         columns = [[r[k] for r in rows] for k in range(6)]
-        packed = (place.astype(np.int32).tobytes(), times.tobytes(), pairs, docs_with)
+        packed = (_narrow(place), _narrow(times), pairs, docs_with)
         row = (number, *columns, [len(r[6]) for r in rows], *packed)
         return {f.name: [value] for f, value in zip(schema_of(BLOCK), row)}
 
     def run(batches):
-        aligner = Aligner(a_json, a_ranks, b_model)
+        aligner = _aligner(a_json, a_ranks, b_model)
         number, rows, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -189,7 +211,7 @@ def align_blocks(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_co
             yield close(number, rows)
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(given, run, schema_of(BLOCK))
+    return map_batches(given, run, schema_of(BLOCK), DOCUMENTS)
 
 
 def block_pairs(blocks: DataFrame) -> DataFrame:
@@ -210,7 +232,7 @@ def count_pairs(blocks: DataFrame) -> DataFrame:
 def pair_counts(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``(a_id, b_id, docs, best)``: the linked id pairs of all documents, as a translation table."""
-    blocks = materialise(align_blocks(docs, a_json, a_ranks, b_model, id_col, text_col), "aligned")
+    blocks = materialise(align_blocks(docs, a_json, a_ranks, b_model, id_col, text_col), "aligned", **_GROUPS)
     a_id, b_id = F.shiftright("pair", 32).alias("a_id"), F.col("pair").bitwiseAND((1 << 32) - 1).alias("b_id")
     return count_pairs(blocks).select(a_id, b_id, "docs", "best")
 
@@ -218,7 +240,7 @@ def pair_counts(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_col
 def report(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_col: str = "doc_id",
            text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)`` per row of ``docs``."""
-    blocks = materialise(align_blocks(docs, a_json, a_ranks, b_model, id_col, text_col, block_bytes), "aligned")
+    blocks = materialise(align_blocks(docs, a_json, a_ranks, b_model, id_col, text_col, block_bytes), "aligned", **_GROUPS)
     # Written, so that both sides of the join are plain shuffles and Spark can split a pair that most blocks hold.
     counts = materialise(count_pairs(blocks), "ranked-pairs")
     ranked = block_pairs(blocks).select("block", "nth", "pair").join(counts, "pair")
@@ -226,7 +248,7 @@ def report(docs: DataFrame, a_json: str, a_ranks: str, b_model: str, id_col: str
     told = blocks.drop("pair", "docs").join(per_block, "block", "left")
     figures = [n for n in blocks.columns if n not in ("block", "pair", "docs")]
     return map_batches(
-        told.select(*figures, "c.nth", "c.docs", "c.best"), _sum_blocks, schema_of(RESULT)
+        told.select(*figures, "c.nth", "c.docs", "c.best"), _sum_blocks, schema_of(RESULT), 1
     )
 
 
@@ -234,7 +256,7 @@ def _sum_blocks(batches):
     for batch in batches:
         for k in range(len(batch["doc_id"])):
             block = {name: column[k] for name, column in batch.items()}
-            place, times = np.frombuffer(block["place"], np.int32), np.frombuffer(block["times"], np.int64)
+            place, times = (_widen(block[name], sum(block["n_pairs"])) for name in ("place", "times"))
             nth = np.array(block["nth"] or [], dtype=np.int64)
             docs, best = np.zeros(len(nth), dtype=np.int64), np.zeros(len(nth), dtype=np.int64)
             docs[nth], best[nth] = block["docs"] or [], block["best"] or []

@@ -131,14 +131,15 @@ def remove_scratch(spark: SparkSession) -> bool:
     return files.exists(folder) and files.delete(folder, True)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, **options: int) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage with data that outlives executors, keeps column pruning and
     filter pushdown for the readers, and fixes rows whose recomputation could differ.
+    ``options`` are the writer's.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

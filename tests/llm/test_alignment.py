@@ -1,8 +1,10 @@
 """Token alignment against a plain version that moves over the bytes and lists every link."""
 
+import random
 from collections import Counter
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -83,3 +85,25 @@ def test_query(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert found.count() == docs.count()
     assert found.agg(F.sum("n_groups")).first()[0] > 0
+
+
+def test_blocks_stay_small(spark):
+    """Writers, readers and shuffles hold many blocks at once, so a block is short and its numbers take few bytes."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    texts = [(i, " ".join(rng.choice(words) for _ in range(600))) for i in range(1000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    blocks = alignment.align_blocks(docs, *FILES).select(
+        F.size("doc_id").alias("n"), F.aggregate("n_pairs", F.lit(0).cast("long"), lambda a, b: a + b).alias("entries"),
+        (F.length("place") + F.length("times")).alias("packed"),
+    ).collect()
+    assert sum(b.n for b in blocks) == 1000 and len(blocks) > 1
+    assert all(b.packed <= 4 * b.entries for b in blocks) and max(b.packed for b in blocks) < 2 << 20
+
+
+def test_numbers_keep_their_values_in_few_bytes():
+    for top, width in ((1, 1), (255, 1), (256, 2), (70_000, 4), (1 << 40, 8)):
+        numbers = np.array([0, 1, top])
+        packed = alignment._narrow(numbers)
+        assert len(packed) == 3 * width and alignment._widen(packed, 3).tolist() == numbers.tolist()
+    assert alignment._widen(alignment._narrow(np.zeros(0, dtype=np.int64)), 0).tolist() == []
