@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,6 +30,8 @@ FACT_COLUMNS = (
     "total_amount",
     "is_return",
 )
+# What the fact keeps of a row beside the keys of its product and customer.
+LOOKED_UP = ("invoice", "time_key", "country_key", "quantity", "price", "year", "month")
 
 
 def lookup(rows: DataFrame, dim: DataFrame, on: str, keep: Sequence[str], how: str) -> DataFrame:
@@ -78,11 +80,14 @@ def dedup_day(staged: DataFrame) -> DataFrame:
     return keep_first(staged, keys, ["invoice_date"])
 
 
-def fact_rows(staged: DataFrame, time, country, product, customer) -> DataFrame:
+def fact_rows(
+    staged: DataFrame, time, country, product, customer, step: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """Fact rows, plus year and month for the table layout.
 
     Only what the fact is made of goes through the de-duplication: lines that
-    differ in nothing else give the same fact row, whichever is kept.
+    differ in nothing else give the same fact row, whichever is kept. ``step`` gets the rows behind the
+    de-duplication and behind each look-up that shuffles them where dimensions are large, and may write them.
     """
     keyed = (
         staged.transform(staging_valid_rows)
@@ -90,8 +95,14 @@ def fact_rows(staged: DataFrame, time, country, product, customer) -> DataFrame:
         .transform(dedup_day)
         .transform(join_time, time)
         .transform(join_country, country)
+        .select(*LOOKED_UP, "stock_code", "customer_id")
+        .transform(step)
         .transform(join_product, product)
+        .select(*LOOKED_UP, "product_key", "customer_id")
+        .transform(step)
         .transform(join_customer, customer)
+        .select(*LOOKED_UP, "product_key", "customer_key")
+        .transform(step)
     )
     return keyed.select(
         F.col("invoice").alias("invoice_no"),

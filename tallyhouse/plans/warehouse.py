@@ -13,7 +13,7 @@ from tallyhouse.operators.dimensions import country_rows, customer_rows, product
 from tallyhouse.operators.fact import fact_rows
 from tallyhouse.operators.keys import with_dense_key
 from tallyhouse.schemas import DIMENSION_KEYS, NATURAL_KEYS, STAGING
-from tallyhouse.session import new_folder, together
+from tallyhouse.session import Relay, new_folder, small_splits, together
 from tallyhouse.sources.landing import staging_valid_rows
 from tallyhouse.sources.tables import load_dimension, load_fact
 
@@ -68,9 +68,11 @@ def build_star(
     )
     time, product = built["time"], built["product"]
     country, customer = built["places"]
-    fact = load_fact(
-        fact_rows(usable, time, country, product, customer), f"{root}/fact_sales", as_of=as_of
-    ).frame
+    relay = Relay(staged.sparkSession, "fact-step")
+    with small_splits(staged.sparkSession):
+        rows = fact_rows(usable, time, country, product, customer, relay.step)
+    fact = load_fact(rows, f"{root}/fact_sales", as_of=as_of).frame
+    relay.end()
     return Star(time, country, product, customer, fact)
 
 

@@ -9,16 +9,18 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows that a task sorts before a shuffle take several times their size in Parquet: such tasks read this part of a split.
 SMALL_SPLIT = 4
+# Of written tables: some seven tenths of what Spark's default needs.
+COMPRESSION = {"compression": "zstd"}
 
 _local_folders: dict[str, str] = {}
-_split_lock, _split_users, _split_before = threading.Lock(), Counter(), {}
+_held_lock, _held_users, _held_before = threading.Lock(), Counter(), {}
 
 
 def build_session(app_name: str = "tallyhouse", **settings: str) -> SparkSession:
@@ -61,25 +63,40 @@ def sizing(input_bytes: int) -> dict[str, str]:
 
 
 @contextmanager
-def small_splits(spark: SparkSession) -> Iterator[None]:
-    """Inside, scans of ``spark`` read splits of a quarter of the session's size; the setting is put back at the end.
-
-    For jobs that run inside and aggregate whole rows before a shuffle, which Spark sorts in memory: the task that
-    has a quarter of the rows keeps them there. Jobs may be nested and run together in threads.
-    """
-    name, session = "spark.sql.files.maxPartitionBytes", id(spark._jsparkSession)
-    with _split_lock:
-        if not _split_users[session]:
-            _split_before[session] = spark.conf.get(name)
-            spark.conf.set(name, str(max(1, _bytes(_split_before[session]) // SMALL_SPLIT)))
-        _split_users[session] += 1
+def _held(spark: SparkSession, name: str, chosen: Callable[[], str]) -> Iterator[None]:
+    """Inside, the setting ``name`` is what ``chosen`` gives; it is put back at the end. Jobs may be nested and run together in threads."""
+    held = (id(spark._jsparkSession), name)
+    with _held_lock:
+        if not _held_users[held]:
+            _held_before[held] = spark.conf.get(name, None)
+            spark.conf.set(name, chosen())
+        _held_users[held] += 1
     try:
         yield
     finally:
-        with _split_lock:
-            _split_users[session] -= 1
-            if not _split_users[session]:
-                spark.conf.set(name, _split_before.pop(session))
+        with _held_lock:
+            _held_users[held] -= 1
+            if not _held_users[held]:
+                before = _held_before.pop(held)
+                spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def small_splits(spark: SparkSession) -> AbstractContextManager[None]:
+    """Inside, scans of ``spark`` read splits of a quarter of the session's size.
+
+    For jobs that run inside and aggregate whole rows before a shuffle, which Spark sorts in memory: the task that
+    has a quarter of the rows keeps them there.
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    return _held(spark, name, lambda: str(max(1, _bytes(spark.conf.get(name)) // SMALL_SPLIT)))
+
+
+def brief_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Inside, the shuffle files of a job go when it ends, instead of when the driver happens to collect its garbage.
+
+    For jobs that write a table: what reads the table needs none of them. A frame that is computed again shuffles again.
+    """
+    return _held(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", lambda: "true")
 
 
 def _bytes(size: str) -> int:
@@ -126,7 +143,11 @@ def remove_scratch(spark: SparkSession) -> bool:
 
     Frames that read them, as those a run returns, cannot be read afterwards; written tables and reports stay.
     """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    return _remove(spark, scratch_folder(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.exists(folder) and files.delete(folder, True)
 
@@ -139,10 +160,35 @@ def materialise(df: DataFrame, label: str, **options: int) -> DataFrame:
     ``options`` are the writer's.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
+    with brief_shuffles(df.sparkSession):
+        df.write.options(**COMPRESSION | options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Relay:
+    """Steps of a long job written one after the other, each as :func:`materialise` does; a step's table goes when the next is there.
+
+    So at no time are there more shuffle files than one step needs. The last table goes at :meth:`end`.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self._path = spark, label, None
+
+    def step(self, df: DataFrame) -> DataFrame:
+        """``df``, which may read the step before and nothing older, as written."""
+        path = new_folder(self.spark, self.label)
+        with brief_shuffles(self.spark):
+            df.write.options(**COMPRESSION).parquet(path)
+        self.end()
+        self._path = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def end(self) -> None:
+        if self._path:
+            _remove(self.spark, self._path)
+            self._path = None
+
+
 def together(**jobs: Callable[[], Any]) -> dict[str, Any]:
     """Run independent jobs at the same time, so small ones do not leave the cluster idle.
 

@@ -22,6 +22,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tallyhouse.session import COMPRESSION, brief_shuffles
+
 # What Spark writes for a null partition value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # One task reads a bucket. Buckets above this size that are as many times larger than their share are too uneven for that.
@@ -138,17 +140,18 @@ class VersionedTable:
         """Write rows that no version lists yet; returns their folders, one per combination of ``by``."""
         load = f"load=v{max(self.numbers(), default=0) + 1:08d}-{uuid.uuid4().hex}"
         path = f"{self.path}/data/{load}"
-        if buckets:
-            self._write_buckets(rows, path, by, buckets)
-        else:
-            rows.write.partitionBy(*by).parquet(path)
+        with brief_shuffles(self.spark):
+            if buckets:
+                self._write_buckets(rows, path, by, buckets)
+            else:
+                rows.write.partitionBy(*by).options(**COMPRESSION).parquet(path)
         return tuple(self._leaves(load, len(by)))
 
     def _write_buckets(self, rows: DataFrame, path: str, by: Sequence[str], buckets: Buckets) -> None:
         """Buckets meet in one task each, but AQE splits those that are too large; a bucket may have several files."""
         place = F.pmod(F.hash(*buckets.columns), F.lit(buckets.number))
         dealt = rows.withColumn("_bucket", place).hint("rebalance", "_bucket").drop("_bucket")
-        writer = dealt.write.partitionBy(*by).bucketBy(buckets.number, *buckets.columns)
+        writer = dealt.write.partitionBy(*by).options(**COMPRESSION).bucketBy(buckets.number, *buckets.columns)
         name = f"tallyhouse_{uuid.uuid4().hex}"
         try:
             writer.format("parquet").option("path", path).saveAsTable(name)

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -375,3 +376,40 @@ def test_loads_read_small_splits(spark, tmp_path):
     finally:
         for name, value in old.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that a local session has on disk."""
+    store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = store.getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that are new since ``before`` and stay; they are removed behind the job's back, which takes a moment."""
+    until = time.monotonic() + 5
+    while (new := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    return new
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    grouped = spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count()
+    was, before = spark.conf.get(name), shuffle_files(spark)
+    written = session.materialise(grouped, "grouped")
+    table = VersionedTable(spark, str(tmp_path / "table"))
+    table.replace(grouped, ("k",))
+    assert not left_over(spark, before)
+    assert written.count() == table.read().count() == 7 and spark.conf.get(name) == was
+
+
+def test_a_written_step_goes_when_the_next_is_there(spark):
+    relay = session.Relay(spark, "relay-test")
+    first = relay.step(spark.range(10))
+    second = relay.step(first.where("id > 3"))
+    scratch = VersionedTable(spark, session.scratch_folder(spark))
+    assert second.count() == 6 and len([f for f in scratch._list() if f.startswith("relay-test")]) == 1
+    relay.end()
+    relay.end()
+    assert not [f for f in scratch._list() if f.startswith("relay-test")]
