@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.frames import stack
 from tallyhouse.schemas import CONTRACTS, DIMENSION_KEYS, Contract
+from tallyhouse.session import materialise
 
 ORPHAN_NAMES = {
     "dim_product": "orphaned_products",
@@ -146,6 +147,17 @@ def reference_violations(tables: dict[str, DataFrame], contracts=CONTRACTS) -> D
     return stack(parts)
 
 
+def lost_references(rows: DataFrame, references: dict[str, str], dimensions: dict[str, DataFrame]) -> DataFrame:
+    """``(column, key)``: the references of ``rows``, by column and dimension, that are not null and point nowhere.
+
+    One scan of the reference columns; equal references are merged by each task before they are shuffled.
+    """
+    long = lambda name: F.col(name).cast("long").alias("key")
+    used = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), long(c)) for c in references])))
+    known = stack([dimensions[d].select(F.lit(c).alias("column"), long(DIMENSION_KEYS[d])) for c, d in references.items()])
+    return used.dropna().distinct().join(known, ["column", "key"], "left_anti")
+
+
 def with_refusals(
     rows: DataFrame, contract: Contract, dimensions: dict[str, DataFrame] | None = None,
     order_by: str | None = None, name: str = "reasons",
@@ -153,15 +165,19 @@ def with_refusals(
     """``rows`` with the reasons, as an array of texts, why a table under ``contract`` refuses them.
 
     Nulls and widths are read off the row itself. With ``dimensions``, a reference that is not null and
-    points nowhere is a reason; null references are allowed. With ``order_by``, a unique column of ``rows``,
+    points nowhere is a reason; null references are allowed. The references that point nowhere are found first and written,
+    so that Spark knows how few they are and need not shuffle the rows for look-ups in the dimensions. With ``order_by``, a unique column of ``rows``,
     the first acceptable row of a key stays and later ones are refused; keys that contain a null never repeat.
     """
     reasons = [F.when(F.col(c).isNull(), f"{c} is null") for c in contract.not_null if c in rows.columns]
     reasons += [F.when(F.length(c) > n, f"{c} is longer than {n}") for c, n in contract.widths.items() if c in rows.columns]
-    for column, target in contract.references.items() if dimensions else ():
-        key = dimensions[target].select(F.col(DIMENSION_KEYS[target]).alias(column), F.lit(True).alias(f"_{column}")).distinct()
-        rows = rows.join(key, column, "left")
-        reasons.append(F.when(F.col(column).isNotNull() & F.col(f"_{column}").isNull(), f"{column} is not in {target}"))
+    if dimensions and contract.references:
+        lost = materialise(lost_references(rows, contract.references, dimensions), "lost-references")
+        kinds = {f.name: f.dataType for f in rows.schema.fields}
+        for column, target in contract.references.items():
+            gone = lost.where(F.col("column") == column).select(F.col("key").cast(kinds[column]).alias(column), F.lit(True).alias(f"_{column}"))
+            rows = rows.join(gone, column, "left")
+            reasons.append(F.when(F.col(f"_{column}"), f"{column} is not in {target}"))
     found = F.filter(F.array(*reasons), lambda r: r.isNotNull()) if reasons else F.array().cast("array<string>")
     judged = rows.withColumn(name, found).drop(*[f"_{c}" for c in contract.references])
     if order_by is None or not contract.unique:
@@ -171,7 +187,7 @@ def with_refusals(
     first = judged.where(F.size(name) == 0).dropna(subset=keys).groupBy(*keys).agg(
         F.min(order_by).alias("_first"), F.count("*").alias("_n")
     )
-    repeated = first.where("_n > 1").drop("_n")
+    repeated = materialise(first.where("_n > 1").drop("_n"), "repeated-keys")
     later = (F.size(name) == 0) & (F.col(order_by) > F.col("_first"))
     told = F.when(later, F.array(F.lit(f"{', '.join(keys)} repeats"))).otherwise(F.col(name))
     return judged.join(repeated, keys, "left").withColumn(name, told).drop("_first")

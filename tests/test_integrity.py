@@ -1,8 +1,10 @@
 import frames
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.operators import integrity, reporting
 from tallyhouse.schemas import Contract
+from tallyhouse.session import materialise
 
 DIMS = {
     "dim_product": ("product_key long, stock_code string", [(1, "A"), (2, "B")]),
@@ -134,3 +136,28 @@ def test_odd_prices_and_sizes_only_warn(spark, dims):
     assert frames.one(reporting.load_gate(issues, orphans))["overall_status"] == "PASS"
     warned = {r[0]: r[1] for r in reporting.load_warnings(issues, orphans).collect()}
     assert warned == {"zero_unit_price": 1, "extreme_quantities": 1}
+
+
+def test_rows_meet_only_references_that_point_nowhere(spark):
+    """Dimensions too large to broadcast are met by the distinct keys of the rows; the rows are not shuffled for them."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    contract = Contract(not_null=("v",), unique=("a",), references={"a": "dim_product", "b": "dim_customer"})
+    dims = {
+        "dim_product": materialise(spark.range(20000).select(F.col("id").alias("product_key")), "products"),
+        "dim_customer": materialise(spark.range(20000).select(F.col("id").alias("customer_key")), "customers"),
+    }
+    given = [(1, 2, 0, "x"), (1, 2, 1, "x"), (20000, None, 2, "x"), (None, 30000, 3, None), (5, -1, 4, "x"), (6, 7, 5, "x")]
+    rows = materialise(spark.createDataFrame(given, "a long, b int, line long, v string"), "rows")
+    spark.conf.set(name, "10k")
+    try:
+        judged = integrity.with_refusals(rows, contract, dims, order_by="line")
+        assert "SortMergeJoin" not in judged._jdf.queryExecution().toString()
+        found = {r.line: r.reasons for r in judged.collect()}
+    finally:
+        spark.conf.set(name, old)
+    assert found == {
+        0: [], 1: ["a repeats"], 2: ["a is not in dim_product"], 3: ["v is null", "b is not in dim_customer"],
+        4: ["b is not in dim_customer"], 5: [],
+    }
+    assert judged.schema["b"].dataType.simpleString() == "int"
